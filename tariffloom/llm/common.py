@@ -108,15 +108,16 @@ class Words:
     first word, with the number of words at the end.
     """
 
-    def __init__(self, column: pa.Array, lo: int, hi: int, lower: bool = False):
+    def __init__(self, column: pa.Array, lo: int, hi: int, lower: bool = False, apart: np.ndarray = _SPACE):
+        """apart: of the 256 bytes, those that separate words."""
         off = offsets(column)[lo : hi + 1]
         buf = column.buffers()[2]
         raw = np.frombuffer(buf, np.uint8)[off[0] : off[-1]] if buf is not None else np.zeros(0, np.uint8)
         at = off - off[0]
         self.data = _LOWER[raw] if lower else raw
-        self.at = at
+        self.at, self.apart = at, apart
         n, docs = len(raw), hi - lo
-        word = ~_SPACE[raw]
+        word = ~apart[self.data]
         before = np.zeros(n + 1, bool)
         before[1:] = word
         before[at] = False  # nothing runs over from one row into the next
@@ -143,6 +144,7 @@ class Words:
         place -= np.repeat(self.start - lo, span)
         place &= 4095
         value = _BYTE[self.data[lo:]]
+        value[self.apart[self.data[lo:]]] = 0
         value *= _PLACE[place]
         total = np.add.reduceat(value, self.start - lo)
         return mix(total + (self.end - self.start).astype(np.uint64) * _M3)

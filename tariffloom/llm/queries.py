@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["packing"]
+_MODULES = ["packing", "secrets", "bpe"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
