@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["packing", "secrets", "bpe"]
+_MODULES = ["packing", "quality", "secrets", "toxicity", "bpe"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
