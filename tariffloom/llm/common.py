@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of rows that a Python worker receives at once.
+BATCH_BYTES = 8 << 20
 #: Bytes of text that a numpy pass takes at once; a longer text forms a group of its own.
 GROUP_BYTES = 1 << 20
 
@@ -69,6 +71,8 @@ def drop_staged(df: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Arrow batches are bounded by bytes as well as rows, for tables with very long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
