@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["packing", "quality", "embed_dedup", "secrets", "exact_topk", "substring", "toxicity", "bpe", "lm_score"]
+_MODULES = ["packing", "quality", "jaccard", "embed_dedup", "secrets", "exact_topk", "substring", "toxicity", "bpe", "lm_score"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
