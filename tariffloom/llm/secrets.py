@@ -128,6 +128,21 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, f"doc_id long, n_assign long, n_access long, n_hex long, base {kind}, found {kind}, redacted string")
 
 
+def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """All rows and columns of docs, with every span of the text masked; a null text stays null."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text in batch.column(at).to_pylist():
+                found = scan(text)[1] if text else []
+                out.append(redact(text, found) if found else text)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(out, pa.string()), *batch.columns[at + 1 :]], batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def digest(spans):
     """kind:start:end of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

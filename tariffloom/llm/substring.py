@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import Words, chain, groups, strings, table, windows
+from tariffloom.llm.common import Words, chain, groups, stage, strings, table, windows
 
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)  # a perfect difference set: every residue is a difference of two members
 ANCHOR = WINDOW - PERIOD + 1
@@ -151,7 +152,9 @@ def find_windows(docs: DataFrame) -> DataFrame:
 
 
 def keep_words(docs: DataFrame) -> DataFrame:
-    """Of (doc, text, own: windows to remove): doc, n_words, n_removed, kept."""
+    """Of (doc, text, own: windows to remove, others): doc, n_words, n_removed, kept, and the others."""
+    others = docs.schema.fields[3:]
+    names = ["doc", "n_words", "n_removed", "kept", *(f.name for f in others)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,9 +181,10 @@ def keep_words(docs: DataFrame) -> DataFrame:
                         removed[i] = gone.sum()
                         words = [x for x, g in zip(words, gone.tolist(), strict=True) if not g]
                     kept.append(b" ".join(words))
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(w.count, pa.int64()), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())], ["doc", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(w.count, pa.int64()), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string()), *(c.slice(lo, hi - lo) for c in batch.columns[3:])], names)
 
-    return docs.mapInArrow(run, "doc long, n_words long, n_removed long, kept string")
+    own = [T.StructField("doc", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
+    return docs.mapInArrow(run, T.StructType([*own, *others]))
 
 
 def _settled(rows: DataFrame, wanted) -> DataFrame:
@@ -191,22 +195,23 @@ def _settled(rows: DataFrame, wanted) -> DataFrame:
     return lone.unionByName(rows.where("key is null").select("doc", "own")).groupBy("doc").agg(F.flatten(F.collect_list("own")).alias("own"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed and kept (the kept words with a space between them) of every document.
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed and kept (the kept words with a space between them) of every document, and the columns
+    in carry, whatever their names.
 
     A null text has no words. Rows with a null id take no part and keep all words. Rows of one id are one document for
-    the comparison, and each keeps what no smaller id has; extra columns are left out.
+    the comparison, and each keeps what no smaller id has.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    extra = [f"_carry{i}" for i in range(len(carry))]
+    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(e) for c, e in zip(carry, extra, strict=True)))
     known = source.where("doc is not null")
-    from tariffloom.llm.common import stage
-
-    shared = stage(_settled(find_anchors(known), (F.col("low") < F.col("high")) | F.col("any")), "anchors")
+    shared = stage(_settled(find_anchors(known.select("doc", "text")), (F.col("low") < F.col("high")) | F.col("any")), "anchors")
     found = find_windows(known.join(shared, "doc").select("doc", "text", "own"))
     gone = stage(_settled(found, F.col("doc") > F.col("low")), "windows")
-    out = keep_words(known.join(gone, "doc", "left").select("doc", "text", "own"))
-    alone = keep_words(source.where("doc is null").select("doc", "text", F.lit(None).cast("array<long>").alias("own")))
-    return out.unionByName(alone).withColumnRenamed("doc", "doc_id")
+    out = keep_words(known.join(gone, "doc", "left").select("doc", "text", "own", *extra))
+    alone = keep_words(source.where("doc is null").select("doc", "text", F.lit(None).cast("array<long>").alias("own"), *extra))
+    out = out.unionByName(alone)
+    return out.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", "kept", *(F.col(e).alias(c) for c, e in zip(carry, extra, strict=True)))
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
