@@ -36,7 +36,7 @@ def inline_providers(raw: DataFrame, array: str = "provider_references", file: s
     """(source_file, provider_group_id, npi) of groups written into the documents; missing identifiers are dropped."""
     ref = raw.select(file, F.explode(array).alias("ref"))
     group = ref.select(file, F.col("ref.provider_group_id").cast("string").alias("provider_group_id"), F.explode("ref.provider_groups").alias("g"))
-    return group.select(file, "provider_group_id", F.explode("g.npi").cast("string").alias("npi")).where("npi is not null")
+    return group.select(file, "provider_group_id", F.explode(F.col("g.npi").cast("array<string>")).alias("npi")).where("npi is not null")
 
 
 def provider_links(raw: DataFrame, array: str = "provider_references", file: str = "source_file") -> DataFrame:
