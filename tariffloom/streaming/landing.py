@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def new_files(spark: SparkSession, folder: str, schema: T.StructType, form: str = "parquet", per_batch: int = 100) -> DataFrame:
+def new_files(spark: SparkSession, folder: str, schema: T.StructType, form: str = "parquet", per_batch: int = 100, glob: str | None = None) -> DataFrame:
     """A stream of the rows of files as they arrive, so many files at a time."""
-    return spark.readStream.format(form).schema(schema).option("maxFilesPerTrigger", per_batch).load(folder)
+    reader = spark.readStream.format(form).schema(schema).option("maxFilesPerTrigger", per_batch)
+    return (reader.option("pathGlobFilter", glob) if glob else reader).load(folder)
 
 
 def land(stream: DataFrame, target: str, checkpoint: str, keys: list[str], every: str | None = None):
