@@ -6,13 +6,16 @@ hashing them is a handful of numpy passes over bytes and no Python object is mad
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of rows that a Python worker receives at once.
 BATCH_BYTES = 8 << 20
@@ -53,21 +56,50 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, tag: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: lineage ends here, lost executors cost nothing.
 
-    The folder outlives the query, since the result is read from it later; see `drop_staged`.
+    Inside a function marked `scoped` the table goes when that function returns; else it stays, for whoever reads it later.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tariffloom-{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
+    if _scopes:
+        _scopes[-1].append(out)
     return out
 
 
+#: Staged tables of the scoped functions that are running, the innermost last.
+_scopes: list[list[DataFrame]] = []
+
+
+def scoped(make):
+    """A function whose result is staged, and whose own staged tables are deleted when it returns."""
+
+    @functools.wraps(make)
+    def run(*args, **more) -> DataFrame:
+        _scopes.append([])
+        own = _scopes[-1]
+        try:
+            out = make(*args, **more)
+            _scopes.pop()
+            return stage(out, make.__name__)
+        finally:
+            if _scopes and _scopes[-1] is own:
+                _scopes.pop()
+            for df in own:
+                drop_staged(df)
+
+    return run
+
+
 def drop_staged(df: DataFrame) -> None:
     """Deletes the folder of a staged table that no later step reads."""
+    if not getattr(df, "_staged_at", None):
+        return
     jvm = df.sparkSession._jvm
     path = jvm.org.apache.hadoop.fs.Path(df._staged_at)
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    df._staged_at = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +137,26 @@ def offsets(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
 
 
+def packed(df: DataFrame, column: str) -> DataFrame:
+    """df with a text column compressed (binary), for the way through a shuffle; a null text becomes an empty one."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            small = pa.array([press(t.as_buffer()) for t in strings(batch.column(at))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], small, *batch.columns[at + 1 :]], batch.schema.names)
+
+    fields = [T.StructField(f.name, T.BinaryType()) if f.name == column else f for f in df.schema.fields]
+    return df.mapInArrow(run, T.StructType(fields))
+
+
+def unpacked(column) -> pa.Array:
+    """The texts of a compressed column."""
+    expand = zstandard.ZstdDecompressor().decompress
+    return strings(pa.array([expand(b) for b in column.to_pylist()], pa.large_binary()).cast(pa.large_string()))
+
+
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of some rows of a string column.
 

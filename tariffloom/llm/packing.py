@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import stage, strings, table
+from tariffloom.llm.common import scoped, stage, strings, table
 
 SEQ_LEN, END_ID = 1024, 2
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, chunk int, place long"
@@ -177,6 +177,7 @@ def slots(patterns: list[tuple[int, list[tuple[int, int, int]]]]) -> dict[int, n
     return {x: np.array(r, np.int64) for x, r in rows.items()}
 
 
+@scoped
 def pack(parts: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     """Adds sequence_id and offset to pieces (see `pieces`). An empty table stays empty.
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import Words, chain, groups, stage, strings, table, windows
+from tariffloom.llm.common import Words, chain, groups, mix, packed, strings, table, unpacked, windows
 
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)  # a perfect difference set: every residue is a difference of two members
 ANCHOR = WINDOW - PERIOD + 1
@@ -47,133 +47,140 @@ def _runs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return order, start, doc[order][start] != doc[order][last]
 
 
+_NAMES = ["key", "rest", "doc", "own"]
+_SCHEMA = "key long, rest int, doc long, own array<long>"
+
+
 def _lists(doc: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
-    """One row (doc, list of values) for each document."""
+    """One row (a key of its own, doc, list of values) for each document; values stay in order."""
     order = np.argsort(doc, kind="stable")
     doc, value = doc[order], value[order]
     start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
     lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(value)).astype(np.int32)), pa.array(value, pa.int64()))
-    n = len(start)
-    return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(doc[start], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), lists], _NAMES)
+    key = mix(doc[start].astype(np.uint64) + np.uint64(start.size))
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.nulls(len(start), pa.int32()), pa.array(doc[start], pa.int64()), lists], _NAMES)
 
 
-_NAMES = ["key", "doc", "value", "shared", "own"]
-_SCHEMA = "key long, doc long, value long, shared boolean, own array<long>"
+def _rows(key: np.ndarray, doc: np.ndarray, rest: np.ndarray | None = None) -> pa.RecordBatch:
+    n = len(key)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.nulls(n, pa.int32()) if rest is None else pa.array(rest, pa.int32()), pa.array(doc, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], _NAMES)
 
 
-def _rows(key: np.ndarray, doc: np.ndarray, value: np.ndarray, shared: np.ndarray) -> pa.RecordBatch:
-    n = len(key)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc, pa.int64()), pa.array(value, pa.int64()), pa.array(shared), pa.nulls(n, pa.list_(pa.int64()))], _NAMES)
+def _each_settled(batches: Iterator[pa.RecordBatch], texts, of_group, settle) -> Iterator[pa.RecordBatch]:
+    """Gathers what of_group(batch, text, lo, hi) gives, (key, doc, position) arrays, and settles it now and then."""
+    held, size = [], 0
+    for batch in batches:
+        text = texts(batch.column(1))
+        for lo, hi in groups(text):
+            held.append(of_group(batch, text, lo, hi))
+            size += len(held[-1][0])
+            if size > SETTLED_AT:
+                yield from settle(*(np.concatenate(v) for v in zip(*held, strict=True)))
+                held, size = [], 0
+    if size:
+        yield from settle(*(np.concatenate(v) for v in zip(*held, strict=True)))
 
 
 def find_anchors(docs: DataFrame) -> DataFrame:
-    """Of (doc, text): rows (key, doc, value: position, shared) with one document for each anchor and task, and rows (doc,
-    own: positions) of the anchors that documents of the task share."""
+    """Of (doc, text, ...): rows (key, rest, doc) with one document for each anchor and task, and rows (key, doc, own: positions)
+    of the anchors that documents of the task share.
+
+    The key is 47 bits of the anchor's hash; rest is 16 bits of its position and, in the next bit, whether documents of
+    the task share it. Both only choose what is compared later, so it does no harm that they are cut.
+    """
 
-    def settle(held: list) -> Iterator[pa.RecordBatch]:
-        key, doc, pos = (np.concatenate(v) for v in zip(*held, strict=True))
-        held.clear()
+    def of_group(batch: pa.RecordBatch, text: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, ...]:
+        w = Words(text, lo, hi)
+        at, key = anchors(w, w.hashes())
+        doc = w.doc[at]
+        return key, batch.column(0).to_numpy(zero_copy_only=False)[lo:hi][doc], (at - w.first[doc]) & 0xFFFF
+
+    def settle(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
         order, start, several = _runs(key, doc)
         first = order[start]
-        yield _rows(key[first], doc[first], pos[first], several)
+        yield _rows(key[first] >> np.uint64(17), doc[first], pos[first] | (several.astype(np.int64) << 16))
         inside = order[np.repeat(several, np.diff(np.append(start, len(key))))]
         if len(inside):
             yield _lists(doc[inside], pos[inside])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            ids, text = batch.column(0).to_numpy(zero_copy_only=False), strings(batch.column(1))
-            for lo, hi in groups(text):
-                w = Words(text, lo, hi)
-                at, key = anchors(w, w.hashes())
-                doc = w.doc[at]
-                held.append((key, ids[lo:hi][doc], at - w.first[doc]))
-                size += len(at)
-                if size > SETTLED_AT:
-                    yield from settle(held)
-                    size = 0
-        if size:
-            yield from settle(held)
+    return docs.mapInArrow(lambda batches: _each_settled(batches, strings, of_group, settle), _SCHEMA)
+
 
-    return docs.mapInArrow(run, _SCHEMA)
+def shared_anchors(rows: DataFrame) -> DataFrame:
+    """(doc, own: positions in 16 bits) of the anchors that several documents share. rows: see `find_anchors`."""
+    over = W.partitionBy("key")
+    met = rows.select("rest", "doc", "own", F.min("doc").over(over).alias("low"), F.max("doc").over(over).alias("high"), F.max(F.col("rest").bitwiseAND(1 << 16)).over(over).alias("any"))
+    told = met.where("own is not null or low < high or any > 0")
+    return told.select("doc", F.coalesce("own", F.array(F.col("rest").bitwiseAND(0xFFFF).cast("long"))).alias("own")).groupBy("doc").agg(F.flatten(F.collect_list("own")).alias("own"))
 
 
 def find_windows(docs: DataFrame) -> DataFrame:
-    """Of (doc, text, own: anchor positions): rows (key, doc, value) with one document for each window and task, and rows
-    (doc, own) of windows that a smaller document of the task has. value: the start in 32 bits, then 32 of the hash."""
-
-    def settle(held: list) -> Iterator[pa.RecordBatch]:
-        key, doc, pos = (np.concatenate(v) for v in zip(*held, strict=True))
-        held.clear()
-        value = (pos << 32) | (key >> np.uint64(32)).astype(np.int64)
-        order, start, several = _runs(key, doc)
+    """Of (doc, packed text, own: anchor positions, ...): rows (key: hash, doc) with one document for each window and task, and rows
+    (key, doc, own) of windows that a smaller document of the task has, as runs: start and half of the first hash, length."""
+
+    def of_group(batch: pa.RecordBatch, text: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, ...]:
+        w = Words(text, lo, hi)
+        h = w.hashes()
+        at, key = anchors(w, h)
+        lists = batch.column(2).slice(lo, hi - lo)
+        row = np.repeat(np.arange(hi - lo), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+        told = np.unique(lists.flatten().to_numpy(zero_copy_only=False) + (row << 16))
+        here = ((at - w.first[w.doc[at]]) & 0xFFFF) + (w.doc[at] << 16)
+        # an anchor may stand at other places of the document too
+        key_doc = np.stack([key, w.doc[at].astype(np.uint64)], 1).view([("k", np.uint64), ("d", np.uint64)]).ravel()
+        hit = at[np.isin(key_doc, key_doc[np.isin(here, told)])]
+        cover = np.zeros(len(h) + 1, np.int64)  # windows that hold a shared anchor
+        np.add.at(cover, np.maximum(hit - (PERIOD - 1), w.first[w.doc[hit]]), 1)
+        np.add.at(cover, hit + 1, -1)
+        start = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+        start = start[start + WINDOW <= w.first[1:][w.doc[start]]]
+        doc = w.doc[start]
+        return chain(h, start, WINDOW), batch.column(0).to_numpy(zero_copy_only=False)[lo:hi][doc], start - w.first[doc]
+
+    def settle(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order, start, _ = _runs(key, doc)
         first = order[start]
-        yield _rows(key[first], doc[first], value[first], several)
-        size = np.diff(np.append(start, len(key)))
-        later = order[doc[order] > np.repeat(doc[first], size)]
-        if len(later):
-            yield _lists(doc[later], value[later])
+        yield _rows(key[first], doc[first])
+        later = np.sort(order[doc[order] > np.repeat(doc[first], np.diff(np.append(start, len(key))))])
+        if len(later):  # gathered document by document in order of position, so runs are consecutive
+            head = np.append(True, (doc[later][1:] != doc[later][:-1]) | (pos[later][1:] != pos[later][:-1] + 1))
+            at = np.flatnonzero(head)
+            run = np.stack([(pos[later][at] << 32) | (key[later][at] >> np.uint64(32)).astype(np.int64), np.diff(np.append(at, len(later)))], 1)
+            yield _lists(np.repeat(doc[later][at], 2), run.ravel())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            ids, text = batch.column(0).to_numpy(zero_copy_only=False), strings(batch.column(1))
-            own = batch.column(2)
-            for lo, hi in groups(text):
-                w = Words(text, lo, hi)
-                h = w.hashes()
-                at, key = anchors(w, h)
-                lists = own.slice(lo, hi - lo)
-                pos = lists.flatten().to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(hi - lo), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
-                good = pos <= w.count[row] - ANCHOR  # an id may come with several texts
-                told = w.first[row[good]] + pos[good]
-                # an anchor may stand at other places of the document too
-                pair = np.stack([key, w.doc[at].astype(np.uint64)], 1).view([("k", np.uint64), ("d", np.uint64)]).ravel()
-                want = pair[np.isin(at, told)]
-                hit = at[np.isin(pair, want)]
-                cover = np.zeros(len(h) + 1, np.int64)  # windows that hold a shared anchor
-                doc = w.doc[hit]
-                np.add.at(cover, np.maximum(hit - (PERIOD - 1), w.first[doc]), 1)
-                np.add.at(cover, hit + 1, -1)
-                start = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
-                start = start[start + WINDOW <= w.first[1:][w.doc[start]]]
-                doc = w.doc[start]
-                held.append((chain(h, start, WINDOW), ids[lo:hi][doc], start - w.first[doc]))
-                size += len(start)
-                if size > SETTLED_AT:
-                    yield from settle(held)
-                    size = 0
-        if size:
-            yield from settle(held)
-
-    return docs.mapInArrow(run, _SCHEMA)
+    return docs.mapInArrow(lambda batches: _each_settled(batches, unpacked, of_group, settle), _SCHEMA)
+
+
+def windows_to_remove(rows: DataFrame) -> DataFrame:
+    """(doc, runs, hashes) of the windows that a smaller document has. rows: see `find_windows`."""
+    met = rows.withColumn("low", F.min("doc").over(W.partitionBy("key"))).where("own is not null or doc > low")
+    told = met.groupBy("doc").agg(F.flatten(F.collect_list("own")).alias("runs"), F.collect_list(F.when(F.col("own").isNull(), F.col("key"))).alias("hashes"))
+    return told
 
 
 def keep_words(docs: DataFrame) -> DataFrame:
-    """Of (doc, text, own: windows to remove, others): doc, n_words, n_removed, kept, and the others."""
-    others = docs.schema.fields[3:]
+    """Of (doc, packed text, runs and hashes of windows to remove, others): doc, n_words, n_removed, kept, and the others."""
+    others = docs.schema.fields[4:]
     names = ["doc", "n_words", "n_removed", "kept", *(f.name for f in others)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, text, own = batch.column(0), strings(batch.column(1)), batch.column(2)
+            ids, text, runs, hashes = batch.column(0), unpacked(batch.column(1)), batch.column(2), batch.column(3)
             for lo, hi in groups(text):
                 w = Words(text, lo, hi)
                 h = None
                 removed, kept = np.zeros(hi - lo, np.int64), []
-                for i, value in enumerate(own.slice(lo, hi - lo)):
+                for i in range(hi - lo):
                     a, b = w.first[i], w.first[i + 1]
                     words = w.data[w.at[i] : w.at[i + 1]].tobytes().split()
-                    if value.is_valid and len(value) and b - a >= WINDOW:
+                    if runs[lo + i].is_valid and b - a >= WINDOW:
                         h = w.hashes() if h is None else h
                         key = chain(h, np.arange(a, b - WINDOW + 1), WINDOW)
-                        v = value.values.to_numpy(zero_copy_only=False)
-                        v = v[(v >> 32) < len(key)]
-                        told = key[(v >> 32)]
-                        told = told[(told >> np.uint64(32)).astype(np.int64) == (v & 0xFFFFFFFF)]
-                        start = np.flatnonzero(np.isin(key, told))
+                        told = [hashes[lo + i].values.to_numpy(zero_copy_only=False).view(np.uint64)]
+                        for head, size in runs[lo + i].values.to_numpy(zero_copy_only=False).reshape(-1, 2).tolist():
+                            if head >> 32 < len(key) and int(key[head >> 32]) >> 32 == head & 0xFFFFFFFF:  # an id may come with several texts
+                                told.append(key[head >> 32 : (head >> 32) + size])
+                        start = np.flatnonzero(np.isin(key, np.concatenate(told)))
                         cover = np.zeros(b - a + 1, np.int64)
                         np.add.at(cover, start, 1)
                         np.add.at(cover, start + WINDOW, -1)
@@ -181,20 +188,12 @@ def keep_words(docs: DataFrame) -> DataFrame:
                         removed[i] = gone.sum()
                         words = [x for x, g in zip(words, gone.tolist(), strict=True) if not g]
                     kept.append(b" ".join(words))
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(w.count, pa.int64()), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string()), *(c.slice(lo, hi - lo) for c in batch.columns[3:])], names)
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(w.count, pa.int64()), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string()), *(c.slice(lo, hi - lo) for c in batch.columns[4:])], names)
 
     own = [T.StructField("doc", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
     return docs.mapInArrow(run, T.StructType([*own, *others]))
 
 
-def _settled(rows: DataFrame, wanted) -> DataFrame:
-    """(doc, own) of the rows that are wanted across tasks and of the lists settled within tasks."""
-    over = W.partitionBy("key")
-    across = rows.where("key is not null").withColumn("low", F.min("doc").over(over)).withColumn("high", F.max("doc").over(over)).withColumn("any", F.max("shared").over(over))
-    lone = across.where(wanted).groupBy("doc").agg(F.collect_list("value").alias("own"))
-    return lone.unionByName(rows.where("key is null").select("doc", "own")).groupBy("doc").agg(F.flatten(F.collect_list("own")).alias("own"))
-
-
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the kept words with a space between them) of every document, and the columns
     in carry, whatever their names.
@@ -205,11 +204,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     extra = [f"_carry{i}" for i in range(len(carry))]
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(e) for c, e in zip(carry, extra, strict=True)))
     known = source.where("doc is not null")
-    shared = stage(_settled(find_anchors(known.select("doc", "text")), (F.col("low") < F.col("high")) | F.col("any")), "anchors")
-    found = find_windows(known.join(shared, "doc").select("doc", "text", "own"))
-    gone = stage(_settled(found, F.col("doc") > F.col("low")), "windows")
-    out = keep_words(known.join(gone, "doc", "left").select("doc", "text", "own", *extra))
-    alone = keep_words(source.where("doc is null").select("doc", "text", F.lit(None).cast("array<long>").alias("own"), *extra))
+    # both joins ask for the same exchange of the texts, with all columns, and so read one
+    shared = shared_anchors(find_anchors(known.select("doc", "text")))
+    small = packed(known, "text").where("doc is not null")
+    found = find_windows(small.join(shared, "doc").select("doc", "text", "own", *extra))
+    gone = windows_to_remove(found)
+    out = keep_words(small.join(gone, "doc", "left").select("doc", "text", "runs", "hashes", *extra))
+    none = F.lit(None).cast("array<long>")
+    alone = keep_words(packed(source.where("doc is null"), "text").select("doc", "text", none.alias("runs"), none.alias("hashes"), *extra))
     out = out.unionByName(alone)
     return out.select(F.col("doc").alias("doc_id"), "n_words", "n_removed", "kept", *(F.col(e).alias(c) for c, e in zip(carry, extra, strict=True)))
 
