@@ -83,8 +83,8 @@ def npi_filter(df: DataFrame, npis: DataFrame | None, column: str = "npi", empty
 
 
 def array_in_set(df: DataFrame, column: str, ids: DataFrame, key: str) -> DataFrame:
-    """Keeps the items of an array column that are in ids, and the rows that keep any. key tells rows apart."""
-    item = df.select(key, F.posexplode(column).alias("_pos", "_item"))
+    """Keeps the items of an array column that are in ids, and the rows that keep any. Rows with the same key must have the same items."""
+    item = df.select(key, F.posexplode(column).alias("_pos", "_item")).distinct()
     kept = in_set(item, "_item", ids).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_item"))), lambda s: s["_item"]).alias("_kept"))
     return df.join(kept, key).withColumn(column, F.col("_kept")).drop("_kept")
 
