@@ -3,7 +3,7 @@
 Two sets whose Jaccard similarity is at least t share a token among the first n - ceil(t * n) + 1 of each, whatever global
 order the tokens are sorted in. The first order puts tokens that stand out by frequency last (from a table of counts of fixed size), so a
 common passage seldom is in a prefix; its prefix tokens are shuffled and meet. Pairs must then also share a
-prefix token under each of the other orders before their sets are intersected.
+prefix token under each of the other orders before their sets are intersected. Texts travel compressed.
 
 Texts with the same set are one class, known by a fingerprint, and only classes are compared. Links are found in two
 steps. First every class goes to the class it shares most prefix tokens with, in groups of bounded size in which links
@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import Words, chain, groups, mix, stage, strings, table, windows
+from tariffloom.llm.common import Words, chain, drop_staged, groups, mix, packed, scoped, stage, strings, table, unpacked, windows
 from tariffloom.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
 COUNT_BITS, FAN_IN = 20, 256
-#: Members of a verification group; fingerprints that a task remembers.
-GROUP, REMEMBERED = 256, 200_000
+#: Members of a verification group; groups that a class sits in; fingerprints that a task remembers.
+GROUP, SEATS, REMEMBERED = 256, 3, 200_000
 _SEEDS = [np.uint64(x) for x in (0x51ED270B9F0C4F2D, 0xD1B54A32D192ED03, 0xA0761D6478BD642F)]
 
 
@@ -115,7 +115,10 @@ def rarity(told: DataFrame) -> np.ndarray:
 
 
 def postings(docs: DataFrame, rare) -> DataFrame:
-    """Of texts: (token, mark, n, place) of the prefix tokens under the first order, once for each set and task."""
+    """Of texts: (token, mark) of the prefix tokens under the first order, once for each set and task.
+
+    The token is 48 bits of its hash and 16 of its place, the largest standing for any later one: both only widen the filter.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -134,9 +137,10 @@ def postings(docs: DataFrame, rare) -> DataFrame:
                 own = new[s.doc[at]]
                 at, place = at[own], place[own]
                 d = s.doc[at]
-                yield pa.RecordBatch.from_arrays([pa.array(s.item[at].view(np.int64)), pa.array(s.mark[d]), pa.array((s.size[d] << 32) | place)], ["token", "mark", "np"])
+                token = (s.item[at] & ~np.uint64(0xFFFF)) | np.minimum(place, 0xFFFF).astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(s.mark[d])], ["token", "mark"])
 
-    return docs.mapInArrow(run, "token long, mark long, np long")
+    return docs.mapInArrow(run, "token long, mark long")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -185,7 +189,7 @@ def _group_links(t: pa.Table, rare: np.ndarray) -> pa.Table:
     """Edges from each class of a group to the smallest class that it is connected with by links inside the group."""
     mark = t.column("mark").to_numpy()
     mark, first = np.unique(mark, return_index=True)
-    v = Verifier(strings(t.column("text")).take(pa.array(first)), rare)
+    v = Verifier(unpacked(t.column("text")).take(pa.array(first)), rare)
     n = len(mark)
     order = np.argsort([len(s) for s in v.sets], kind="stable")
     up, find = _roots(n)
@@ -209,12 +213,21 @@ def _pair_links(t: pa.Table, rare: np.ndarray) -> pa.Table:
     centre = np.flatnonzero(side == 0)
     if not len(centre):
         return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
-    v = Verifier(strings(t.column("text")), rare)
+    v = Verifier(unpacked(t.column("text")), rare)
     c = int(centre[0])
     hit = [i for i in np.flatnonzero(side == 1).tolist() if v.linked(c, i)]
     return pa.table({"u": pa.array(mark[hit]), "v": pa.array(np.full(len(hit), mark[c]))})
 
 
+def _seated(pairs: DataFrame) -> DataFrame:
+    """(mark, low, part, side) of pairs (mark, low): groups of GROUP members at most, each with its centre (side 0)."""
+    parts = stage(pairs.groupBy("low").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts")), "sizes")
+    member = pairs.join(parts, "low").select("mark", "low", F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
+    centre = parts.select(F.col("low").alias("mark"), "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
+    return member.unionByName(centre)
+
+
+@scoped
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links, itself included) of every row.
 
@@ -223,50 +236,59 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    known = source.where("doc is not null")
     told = stage(documents(source), "sets")
     rare = spark.sparkContext.broadcast(rarity(told))
     rows = told.where("counts is null").select("doc", "n", "mark")
-    classes = stage(rows.where("doc is not null and n > 0").groupBy("mark").agg(F.min("doc").alias("doc")), "classes")
-    post = postings(source.where("doc is not null").select("text"), rare)
+    classes = told.where("counts is null and doc is not null and n > 0").groupBy("mark").agg(F.min("doc").alias("doc"), F.first("n").cast("int").alias("n"))
+    classes = stage(classes, "classes")
     over = W.partitionBy("token")
-    post = post.withColumn("low", F.min(F.struct("mark", "np")).over(over)).withColumn("high", F.max("mark").over(over))
-    shared = stage(post.where(F.col("low.mark") < F.col("high")).select("token", "mark", F.shiftright("np", 32).cast("int").alias("n"), F.col("np").bitwiseAND(0xFFFFFFFF).cast("int").alias("place"), F.col("low.mark").alias("low"), F.shiftright(F.col("low.np"), 32).cast("int").alias("low_n")), "shared")
-
-    # the class that each class shares most prefix tokens with, of those that come first for a token
-    near = F.least("n", "low_n") * 100 >= F.greatest("n", "low_n") * PERCENT
-    ties = shared.where((F.col("mark") != F.col("low")) & near).groupBy("mark", "low").agg(F.count("*").alias("c"))
-    chosen = ties.groupBy("mark").agg(F.max_by("low", F.struct("c", "low")).alias("low"))
-    chosen = stage(chosen, "chosen")
-    sizes = chosen.groupBy("low").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
-    sizes = stage(sizes, "sizes")
-    member = chosen.join(sizes, "low").select("mark", "low", F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int").alias("part"))
-    centre = sizes.select(F.col("low").alias("mark"), "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    seats = stage(member.unionByName(centre), "seats")
-    taking = seats.select("mark").union(shared.select("mark")).distinct()
-    texts = classes.join(taking, "mark")
-    texts = stage(texts.join(source.where("doc is not null"), "doc").select("mark", "text", "doc"), "texts")
-    texts_mark = texts  # rows of one id with several texts: only those with the class's own set count
+    place = F.col("key").bitwiseAND(0xFFFF).cast("int").alias("place")
+    post = postings(known.select("text"), rare).select(F.col("token").alias("key"), "mark", F.shiftright("token", 16).alias("token"))
+    post = post.withColumn("low", F.min("mark").over(over)).withColumn("high", F.max("mark").over(over)).where("low < high")
+    # tasks that met the same set have sent it once each; its rows are together by token already
+    shared = stage(post.select("token", "mark", place, "low", "high").groupBy("token", "mark").agg(*(F.min(c).alias(c) for c in ("place", "low", "high"))), "shared")
+    sizes = classes.select("mark", "n")
+
+    def texts_of(seats: DataFrame) -> DataFrame:
+        """Seats with the text of their class, packed."""
+        named = seats.join(classes.select("mark", "doc"), "mark")
+        return packed(known, "text").join(named, "doc").select("mark", "low", "part", "side", "text")
+
+    # each class goes to the few that it shares most prefix tokens with, of those that come first or last for a token;
+    # a few tokens prove nothing, but whether it is near to those does not matter, as the members of a group are compared too
+    ends = shared.select("mark", F.explode(F.array("low", "high")).alias("low")).where("mark <> low")
+    ties = ends.groupBy("mark", "low").agg(F.count("*").alias("c")).join(sizes, "mark").where(F.col("c") * 24 >= F.col("n"))
+    best = F.row_number().over(W.partitionBy("mark").orderBy(F.desc("c"), "low"))
+    chosen = stage(ties.withColumn("place", best).where(F.col("place") <= SEATS).select("mark", "low"), "chosen")
+    seats = stage(_seated(chosen), "seats")
     edge = "u long, v long"
-    near_edges = seats.join(texts_mark, "mark").groupBy("low", "part").applyInArrow(lambda t: _group_links(t, rare.value), edge)
-    first = stage(near_edges.where("u <> v"), "near")
+    near = texts_of(seats).groupBy("low", "part").applyInArrow(lambda t: _group_links(t, rare.value), edge)
+    first = stage(near.where("u <> v"), "near")
     label = stage(components(first), "labels")
 
-    # pairs across components
-    named = shared.join(label.withColumnRenamed("id", "mark"), "mark", "left").select("token", "mark", "n", "place", F.coalesce("component", "mark").alias("label"))
+    # what is left: pairs across components
+    named = shared.join(label.withColumnRenamed("id", "mark"), "mark", "left").select("token", "mark", "place", F.coalesce("component", "mark").alias("label"))
     several = named.withColumn("a", F.min("label").over(over)).withColumn("b", F.max("label").over(over)).where("a <> b").drop("a", "b")
-    several = stage(several, "across")
+    several = stage(several.join(sizes, "mark"), "across")
+    drop_staged(shared)
     left, right = (several.select("token", *(F.col(c).alias(f"{c}{k}") for c in ("mark", "n", "place", "label"))) for k in (1, 2))
-    least = F.ceil(F.col("n1") * PERCENT / 100)
-    pair = left.join(right, "token").where("mark1 <> mark2 and label1 <> label2 and (n1 > n2 or (n1 = n2 and mark1 > mark2))").where(F.col("n2") >= least)
+    pair = left.join(right, "token").where("mark1 <> mark2 and label1 <> label2 and (n1 > n2 or (n1 = n2 and mark1 > mark2))").where(F.col("n2") * 100 >= F.col("n1") * PERCENT)
+    overlap = F.ceil((F.col("n1") + F.col("n2")) * PERCENT / (100 + PERCENT))
+    # what lies before a common token in one and after it in the other bounds the overlap: no row of a pair that links fails
+    pair = pair.where(F.least("place1", "place2") + F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) >= overlap)
+    # the prefixes are longer than these two sizes need for one common token: where they need `least` more, as many more
+    # are common. A third of that is asked for, from prefixes as much longer; all of it would make many more rows.
+    prefix = lambda n: F.col(n) - F.ceil(F.col(n) * PERCENT / 100) + 1
+    least = F.ceil((F.least(prefix("n1") - F.col("n1"), prefix("n2") - F.col("n2")) + overlap) / 3)
+    pair = pair.where((F.col("place1") < F.col("n1") - overlap + least) & (F.col("place2") < F.col("n2") - overlap + least))
     pair = pair.groupBy("mark1", "mark2", "n1", "n2").agg(F.count("*").alias("c"), F.max("place1").alias("p1"), F.max("place2").alias("p2"))
     bound = F.col("c") + F.least(F.col("n1") - F.col("p1") - 1, F.col("n2") - F.col("p2") - 1)
-    pair = stage(pair.where(bound * (100 + PERCENT) >= PERCENT * (F.col("n1") + F.col("n2"))).select("mark1", "mark2"), "pairs")
-    parts = stage(pair.groupBy("mark1").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts")), "sizes")
-    other = pair.join(parts, "mark1").select(F.col("mark2").alias("mark"), F.col("mark1").alias("low"), F.pmod(F.xxhash64("mark2"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
-    centre = parts.select(F.col("mark1").alias("mark"), F.col("mark1").alias("low"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
-    seats = stage(other.unionByName(centre), "seats")
-    far_edges = seats.join(texts, "mark").groupBy("low", "part").applyInArrow(lambda t: _pair_links(t, rare.value), edge)
-    second = stage(far_edges, "far")
+    pair = pair.where((F.col("c") >= least) & (bound >= overlap))
+    pair = stage(pair.select(F.col("mark2").alias("mark"), F.col("mark1").alias("low")), "pairs")
+    seats = stage(_seated(pair), "seats")
+    far = texts_of(seats).groupBy("low", "part").applyInArrow(lambda t: _pair_links(t, rare.value), edge)
+    second = stage(far, "far")
 
     # documents: classes of one set, links between classes, and texts of one id
     same = rows.where("doc is not null and n > 0").join(classes.withColumnRenamed("doc", "low_doc"), "mark").select("doc", "low_doc")
