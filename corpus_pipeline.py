@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tariffloom.llm import jaccard, packing, secrets, substring, toxicity
-from tariffloom.llm.common import stage, table
+from tariffloom.llm.common import drop_staged, stage, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,5 +58,7 @@ ORACLE_SQL = None  # a trained network and a tokenizer have no SQL form
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
+        kept = stage(step(spark, docs, sf_dir), name)
+        drop_staged(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
