@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of rows that a Python worker receives at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Bytes of text that a numpy pass takes at once; a longer text forms a group of its own.
 GROUP_BYTES = 1 << 20
 

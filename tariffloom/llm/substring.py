@@ -47,8 +47,8 @@ def _runs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return order, start, doc[order][start] != doc[order][last]
 
 
-_NAMES = ["key", "rest", "doc", "own"]
-_SCHEMA = "key long, rest int, doc long, own array<long>"
+_NAMES = ["key", "doc", "own"]
+_SCHEMA = "key long, doc long, own array<long>"
 
 
 def _lists(doc: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
@@ -58,12 +58,11 @@ def _lists(doc: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
     start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
     lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(value)).astype(np.int32)), pa.array(value, pa.int64()))
     key = mix(doc[start].astype(np.uint64) + np.uint64(start.size))
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.nulls(len(start), pa.int32()), pa.array(doc[start], pa.int64()), lists], _NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc[start], pa.int64()), lists], _NAMES)
 
 
-def _rows(key: np.ndarray, doc: np.ndarray, rest: np.ndarray | None = None) -> pa.RecordBatch:
-    n = len(key)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.nulls(n, pa.int32()) if rest is None else pa.array(rest, pa.int32()), pa.array(doc, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], _NAMES)
+def _rows(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc, pa.int64()), pa.nulls(len(key), pa.list_(pa.int64()))], _NAMES)
 
 
 def _each_settled(batches: Iterator[pa.RecordBatch], texts, of_group, settle) -> Iterator[pa.RecordBatch]:
@@ -82,11 +81,11 @@ def _each_settled(batches: Iterator[pa.RecordBatch], texts, of_group, settle) ->
 
 
 def find_anchors(docs: DataFrame) -> DataFrame:
-    """Of (doc, text, ...): rows (key, rest, doc) with one document for each anchor and task, and rows (key, doc, own: positions)
+    """Of (doc, text, ...): rows (key, doc) with one document for each anchor and task, and rows (key, doc, own: positions)
     of the anchors that documents of the task share.
 
-    The key is 47 bits of the anchor's hash; rest is 16 bits of its position and, in the next bit, whether documents of
-    the task share it. Both only choose what is compared later, so it does no harm that they are cut.
+    The key is 47 bits of the anchor's hash, whether documents of the task share it, and 16 bits of its position. Hash and
+    position only choose what is compared later, so it does no harm that they are cut.
     """
 
     def of_group(batch: pa.RecordBatch, text: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, ...]:
@@ -98,7 +97,7 @@ def find_anchors(docs: DataFrame) -> DataFrame:
     def settle(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
         order, start, several = _runs(key, doc)
         first = order[start]
-        yield _rows(key[first] >> np.uint64(17), doc[first], pos[first] | (several.astype(np.int64) << 16))
+        yield _rows((key[first] & ~np.uint64(0x1FFFF)) | (several.astype(np.uint64) << np.uint64(16)) | pos[first].astype(np.uint64), doc[first])
         inside = order[np.repeat(several, np.diff(np.append(start, len(key))))]
         if len(inside):
             yield _lists(doc[inside], pos[inside])
@@ -108,10 +107,13 @@ def find_anchors(docs: DataFrame) -> DataFrame:
 
 def shared_anchors(rows: DataFrame) -> DataFrame:
     """(doc, own: positions in 16 bits) of the anchors that several documents share. rows: see `find_anchors`."""
-    over = W.partitionBy("key")
-    met = rows.select("rest", "doc", "own", F.min("doc").over(over).alias("low"), F.max("doc").over(over).alias("high"), F.max(F.col("rest").bitwiseAND(1 << 16)).over(over).alias("any"))
+    anchor = F.shiftright("key", 17)
+    over = W.partitionBy("anchor")
+    # dealt by the expression before the column is made: the shuffle carries one number for hash, flag and position
+    met = rows.repartition(anchor).withColumn("anchor", anchor)
+    met = met.select("key", "doc", "own", F.min("doc").over(over).alias("low"), F.max("doc").over(over).alias("high"), F.max(F.col("key").bitwiseAND(1 << 16)).over(over).alias("any"))
     told = met.where("own is not null or low < high or any > 0")
-    return told.select("doc", F.coalesce("own", F.array(F.col("rest").bitwiseAND(0xFFFF).cast("long"))).alias("own")).groupBy("doc").agg(F.flatten(F.collect_list("own")).alias("own"))
+    return told.select("doc", F.coalesce("own", F.array(F.col("key").bitwiseAND(0xFFFF))).alias("own")).groupBy("doc").agg(F.flatten(F.collect_list("own")).alias("own"))
 
 
 def find_windows(docs: DataFrame) -> DataFrame:
