@@ -304,3 +304,17 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_ngram_jaccard": op3_ngram_jaccard}
+ORACLE = {
+    "op3_ngram_jaccard": r"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), s AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0)
+    ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+    e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+    r(doc, label) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.y, r.label FROM r JOIN e ON r.doc = e.x)
+    SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.label) AS component_id FROM d JOIN r ON r.doc = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
+}
