@@ -74,9 +74,9 @@ def settings(rows: DataFrame, k: int = 8) -> DataFrame:
 
 def against_average(totals: DataFrame, band: float = 0.08) -> DataFrame:
     """Each provider's middle against the average of all: delta and whether it is below, near or above."""
-    mean = totals.agg(F.avg("mid_sum").alias("average"))  # one row
     delta = F.col("mid_sum") / F.col("average") - 1
-    return totals.crossJoin(F.broadcast(mean)).withColumn("delta", delta).withColumn("standing", F.when(delta < -band, "below").when(delta > band, "above").otherwise("near"))
+    known = totals.sparkSession.sql("SELECT *, (SELECT avg(mid_sum) FROM {t}) AS average FROM {t}", t=totals)
+    return known.withColumn("delta", delta).withColumn("standing", F.when(delta < -band, "below").when(delta > band, "above").otherwise("near"))
 
 
 def report(fact: DataFrame, services: int = 10, providers: int = 20) -> tuple[DataFrame, DataFrame]:
