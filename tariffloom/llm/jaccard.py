@@ -158,10 +158,11 @@ class Verifier:
     """Verified links among some classes: sets and prefixes under the further orders are made from the texts once."""
 
     def __init__(self, texts: pa.Array, rare: np.ndarray):
-        self.sets, self.filters = [], []
+        self.sets, self.filters, self.marks = [], [], []
         for lo, hi in groups(texts):
             s = Sets(Words(texts, lo, hi, True))
             self.sets += np.split(s.item, s.first[1:-1])
+            self.marks += s.mark.tolist()
             own = []
             for order in (1, 2):
                 at, _ = s.prefixes(rare, order)
@@ -169,6 +170,17 @@ class Verifier:
                 own.append([frozenset(p.tolist()) for p in np.split(s.item[at], cut)])
             self.filters += list(zip(*own, strict=True))
 
+    def own(self, given: np.ndarray) -> np.ndarray:
+        """The classes of the texts, each once. given: the class that each text was fetched for; where one id has several
+        texts, those of another class are left out."""
+        first: dict[int, int] = {}
+        for k, (m, g) in enumerate(zip(self.marks, given.tolist(), strict=True)):
+            if m == g:
+                first.setdefault(m, k)
+        keep = list(first.values())
+        self.sets, self.filters = [self.sets[k] for k in keep], [self.filters[k] for k in keep]
+        return np.array(list(first), np.int64)
+
     def linked(self, i: int, j: int) -> bool:
         return all(not p.isdisjoint(q) for p, q in zip(self.filters[i], self.filters[j], strict=True)) and linked(self.sets[i], self.sets[j])
 
@@ -187,9 +199,8 @@ def _roots(n: int) -> tuple[list[int], object]:
 
 def _group_links(t: pa.Table, rare: np.ndarray) -> pa.Table:
     """Edges from each class of a group to the smallest class that it is connected with by links inside the group."""
-    mark = t.column("mark").to_numpy()
-    mark, first = np.unique(mark, return_index=True)
-    v = Verifier(unpacked(t.column("text")).take(pa.array(first)), rare)
+    v = Verifier(unpacked(t.column("text")), rare)
+    mark = v.own(t.column("mark").to_numpy())
     n = len(mark)
     order = np.argsort([len(s) for s in v.sets], kind="stable")
     up, find = _roots(n)
@@ -208,13 +219,15 @@ def _group_links(t: pa.Table, rare: np.ndarray) -> pa.Table:
 
 def _pair_links(t: pa.Table, rare: np.ndarray) -> pa.Table:
     """Edges of a group: its one row with side 0 holds the class that the others are compared with."""
-    side = np.array(t.column("side").to_pylist())
-    mark = t.column("mark").to_numpy()
-    centre = np.flatnonzero(side == 0)
-    if not len(centre):
-        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
     v = Verifier(unpacked(t.column("text")), rare)
-    c = int(centre[0])
+    given = t.column("mark").to_numpy()
+    centre = set(given[t.column("side").to_numpy() == 0].tolist())
+    mark = v.own(given)
+    side = np.array([0 if m in centre else 1 for m in mark.tolist()], np.int64)
+    at = np.flatnonzero(side == 0)
+    if not len(at):
+        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+    c = int(at[0])
     hit = [i for i in np.flatnonzero(side == 1).tolist() if v.linked(c, i)]
     return pa.table({"u": pa.array(mark[hit]), "v": pa.array(np.full(len(hit), mark[c]))})
 

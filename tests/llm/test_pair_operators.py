@@ -79,6 +79,14 @@ def test_jaccard_awkward_tables(spark):
     assert jaccard.join(empty(spark)).count() == 0
 
 
+def test_jaccard_one_id_with_several_texts(spark):
+    a, b = _near_copies(2, 3, 11), _near_copies(2, 3, 12)
+    got = jaccard.join(documents(spark, [(1, a[0]), (5, a[1]), (5, b[0]), (9, b[1]), (7, " ".join(WORDS[:9]))])).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (5, 1), (9, 1), (7, 7)}
+    got = jaccard.join(documents(spark, [(5, a[0]), (5, b[0]), (9, b[1]), (8, a[1].replace("edit", "other"))])).collect()
+    assert {r.component_id for r in got} == {5}
+
+
 def _kept(rows):
     first = {}
     words = [((i, t), (t or "").encode().split()) for i, t in rows]
