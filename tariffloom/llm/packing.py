@@ -41,13 +41,20 @@ class Encoder:
     tiktoken, several times faster with the same ids; any other by the tokenizers library itself."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_str(spec)
-        self.slow.no_truncation()
-        self.slow.no_padding()
+        self.spec, self._slow = spec, None
         self.fast = self._fast(json.loads(spec))
 
+    @property
+    def slow(self):
+        """The library's own tokenizer, which takes much memory and is made only where it is needed."""
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_str(self.spec)
+            self._slow.no_truncation()
+            self._slow.no_padding()
+        return self._slow
+
     @staticmethod
     def _fast(d: dict):
         import tiktoken
