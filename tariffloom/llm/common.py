@@ -6,6 +6,7 @@ hashing them is a handful of numpy passes over bytes and no Python object is mad
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import uuid
 from collections.abc import Iterator
@@ -113,6 +114,16 @@ def crc_mod(col, n: int):
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(n))
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that a Python worker that is kept does not keep the most it ever used."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def groups(column: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column with about `limit` bytes each."""
     n = len(column)
@@ -122,6 +133,7 @@ def groups(column: pa.Array, limit: int = GROUP_BYTES) -> Iterator[tuple[int, in
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, "right")) - 1)
         yield lo, min(hi, n)
         lo = min(hi, n)
+    give_back()
 
 
 def strings(column) -> pa.Array:
