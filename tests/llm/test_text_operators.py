@@ -185,6 +185,14 @@ def test_models_without_labels_or_rows(spark, tmp_path, module, query):
     assert module.QUERIES[query](spark, folder).count() == 0
 
 
+def test_toxicity_replaces_clashing_columns(spark):
+    docs = documents(spark)
+    net = toxicity.fit([], np.zeros(0, int), np.zeros(0, int), 0.1)
+    got = toxicity.score(docs, net)
+    assert got.columns == [c for c in docs.columns if c != "score"] + ["score", "predicted"] and got.count() == len(ROWS)
+    assert dict(got.dtypes)["score"] == "double"
+
+
 def test_trees_agree_with_a_plain_walk():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 5))
@@ -200,7 +208,9 @@ def test_trees_agree_with_a_plain_walk():
         assert abs(total - raw) < 1e-9
 
 
-def test_language_model(spark):
+@pytest.mark.parametrize("sizes", [(200_000, 1_000_000), (20, 30), (5, 0)])
+def test_language_model(spark, monkeypatch, sizes):
+    monkeypatch.setattr(lm_score.build_code, "__defaults__", sizes)
     docs = documents(spark)
     rows = lm_score.score(docs, lambda c: c != 12).collect()
     train = [t or "" for i, t in ROWS if i not in (None, 12)]
@@ -224,7 +234,8 @@ def test_language_model_is_a_distribution():
     h = Words(column, 0, 3, True).hashes()
     order = np.argsort(h)
     paths = lm_score.word_tree(np.array([5, 3, 2]), 1, 4, np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256))
-    code = lm_score.Code(h[order], np.zeros(3), *paths, 0.0, 0.0, 14, 1)
+    none = np.zeros(0, np.uint64)
+    code = lm_score.Code(h[order], np.array([5, 3, 2]), none, none.astype(np.int64), *paths, 0.0, 0.0, 14, 1)
     empty_tables = [np.zeros(k, np.int16) for k in lm_score.SLOTS]
     w = Words(column, 0, 3, True)
     s = lm_score.score_group(w, w.hashes(), code, empty_tables)
