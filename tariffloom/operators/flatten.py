@@ -91,7 +91,7 @@ def flatten_rates(raw: DataFrame, array: str = "in_network", keep: tuple[str, ..
             for a in inner:
                 path = f"{name}{SEP}{a}"
                 item = df.schema[path].dataType.elementType
-                if isinstance(item, T.StructType) or level <= 2 and ("provider_reference" in path.lower() or isinstance(item, T.StructType)):
+                if isinstance(item, T.StructType) or level <= 2 and "provider_reference" in path.lower():
                     df = explode_column(df, path, outer or "provider_reference" in path.lower())
     if explode_codes and (codes := next((c for c in arrays_of(df) if "service_code" in c.lower()), None)):
         df = explode_column(df, codes, True)

@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tariffloom.operators import filters, flatten, joins, providers
 
@@ -100,6 +99,3 @@ def scalars_only(df: DataFrame) -> DataFrame:
     """Facts with every array exploded, rows without a business value left out."""
     return filters.not_blank(flatten.simplify(flatten.explode_all(df)))
 
-
-def expected(schema: T.StructType) -> list[str]:
-    return sorted(schema.fieldNames())

@@ -37,8 +37,6 @@ DOCUMENT = {
 @pytest.fixture(scope="module")
 def raw(spark):
     text = spark.createDataFrame([(json.dumps(DOCUMENT),)], "value string")
-    fields = "struct<" + ",".join(p.replace(" ", ":", 1) for p in SCHEMA.split(",reporting")[0:1]) + ">"
-    del fields
     from pyspark.sql.types import _parse_datatype_string
 
     return text.select(F.from_json("value", _parse_datatype_string(SCHEMA)).alias("d")).select("d.*", F.lit("f.json").alias("source_file"))
