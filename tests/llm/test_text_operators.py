@@ -241,3 +241,35 @@ def test_language_model_is_a_distribution():
     s = lm_score.score_group(w, w.hashes(), code, empty_tables)
     none = Words(strings(pa.array([""])), 0, 1, True)
     assert (10.0**s).sum() + 10.0 ** lm_score.score_group(none, none.hashes(), code, empty_tables)[0] < 1
+
+
+def test_language_model_contexts_do_not_fade_with_the_corpus(spark):
+    """A pair of words that training texts hold three times is predicted however many other words they hold."""
+    rng = np.random.default_rng(3)
+    filler = [(k, " ".join(f"w{i}" for i in rng.integers(0, 3000, 10_000))) for k in range(40)]
+    pairs = [(100 + k, f"w{k} left right") for k in range(3)]
+    asked = [(200, "w9 left right"), (201, "w9 right left")]
+    docs = spark.createDataFrame(filler + pairs + asked, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_score.score(docs, lambda c: c < 200).collect()}
+    assert got[200] > got[201] + 0.3
+
+
+def test_language_model_counts_of_contexts_are_exact():
+    """Predictions of whole contexts against the counts of every node, one by one."""
+    rng = np.random.default_rng(5)
+    paths = lm_score.word_tree(rng.integers(1, 50, 60), 5, 4, np.ones(256, np.int64))
+    none = np.zeros(0, np.uint64)
+    code = lm_score.Code(np.arange(60, dtype=np.uint64), np.ones(60, np.int64), none, none.astype(np.int64), *paths, 0.0, 0.0, 14, 1)
+    rows = {(int(k), int(s)): int(n) for k, s, n in zip(rng.integers(0, 4, 150), rng.integers(0, 60, 150), rng.integers(0, 4, 150), strict=True)}
+    key, sym = (np.array(v) for v in zip(*rows, strict=True))
+    way = lambda s: [(int(code.nodes[i]), int(code.bits[i])) for i in range(code.start[s], code.start[s + 1])]
+    tally = Counter()
+    for (k, s), n in rows.items():
+        for node, bit in way(s):
+            tally[k, node, bit] += n
+    q, size, value = lm_score.path_predictions(code, key.astype(np.uint64), sym, np.array(list(rows.values())))
+    got = dict(zip(q.tolist(), np.split(value, np.cumsum(size)[:-1]), strict=True))
+    for (k, s), h in zip(rows, lm_score.asked(key.astype(np.uint64), sym).tolist(), strict=True):
+        seen = [(tally[k, node, 0], tally[k, node, 1]) for node, _ in way(s)]
+        want = [lm_score.encoded(np.array([a]), np.array([b]))[0] for a, b in seen if a + b]
+        assert got.get(h, np.zeros(0)).tolist() == want
