@@ -273,3 +273,15 @@ def test_language_model_counts_of_contexts_are_exact():
         seen = [(tally[k, node, 0], tally[k, node, 1]) for node, _ in way(s)]
         want = [lm_score.encoded(np.array([a]), np.array([b]))[0] for a, b in seen if a + b]
         assert got.get(h, np.zeros(0)).tolist() == want
+
+
+def test_language_model_predicts_rare_words_to_the_last_bit(spark, monkeypatch):
+    """A rare word that always follows another costs little there, be it in the first dictionary or in the second."""
+    rng = np.random.default_rng(4)
+    filler = [(k, " ".join(f"w{i}" for i in rng.integers(0, 3000, 4000))) for k in range(10)]
+    pairs = [(100 + k, f"w{k} " + "left right " * 6) for k in range(3)]
+    docs = spark.createDataFrame([*filler, *pairs, (200, "left right " * 6)], "doc_id long, text string")
+    for sizes, least in (((200_000, 1_000_000), -9), ((20, 10_000), -12)):
+        monkeypatch.setattr(lm_score.build_code, "__defaults__", sizes)
+        got = {r.doc_id: r.score for r in lm_score.score(docs, lambda c: c < 200).collect()}
+        assert got[200] > least
