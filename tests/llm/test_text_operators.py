@@ -285,3 +285,9 @@ def test_language_model_predicts_rare_words_to_the_last_bit(spark, monkeypatch):
         monkeypatch.setattr(lm_score.build_code, "__defaults__", sizes)
         got = {r.doc_id: r.score for r in lm_score.score(docs, lambda c: c < 200).collect()}
         assert got[200] > least
+
+
+def test_language_model_adapts_within_short_texts():
+    """Weights change after 8, 24 and 56 symbols, then after each 64; a short text has several blocks."""
+    block = lm_score.block_of(np.arange(400))
+    assert np.flatnonzero(np.diff(block)).tolist() == [7, 23, 55, 119, 183, 247, 311, 375] and np.diff(block).max() == 1
