@@ -200,3 +200,14 @@ def test_pipeline_stages(spark, tmp_path):
     assert "abcdefghijklmnop" not in kept["secret_scan"][301].text
     want = {(r.doc_id, r.piece, r.ids_crc32) for r in corpus_pipeline.run(spark, folder).collect()}
     assert want == {(r.doc_id, r.piece, r.ids_crc32) for r in now.collect()}
+
+
+@pytest.mark.parametrize("hashes", [2, 3, 4])
+def test_recall_of_buckets_holds_with_more_hashes(hashes):
+    """Pairs at the least cosine that links share a bucket, however many hashes a bucket number has."""
+    rng = np.random.default_rng(1)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    a, r = unit(rng.normal(size=(1000, 64))), rng.normal(size=(1000, 64))
+    b = 0.9 * a + np.sqrt(1 - 0.81) * unit(r - (r * a).sum(1, keepdims=True) * a)
+    x, y = embed_dedup.buckets(a, hashes), embed_dedup.buckets(b, hashes)
+    assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(x, y, strict=True)]) >= 0.98
