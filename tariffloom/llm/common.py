@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -30,7 +32,6 @@ _LOWER[65:91] += 32
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(1, 2**64, 256, dtype=np.uint64)
 _BYTE[_SPACE] = 0
-_PLACE = _rng.integers(1, 2**64, 4096, dtype=np.uint64) | np.uint64(1)
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,12 +45,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@functools.lru_cache(maxsize=1)
+def _few_places() -> np.ndarray:
+    return mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * _M3) | np.uint64(1)
+
+
+def places(n: int) -> np.ndarray:
+    """A multiplier for each of the first n bytes of a word. No two are related, so they never repeat in a long word."""
+    return _few_places()[:n] if n <= 1 << 16 else mix(np.arange(1, n + 1, dtype=np.uint64) * _M3) | np.uint64(1)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; one is set only where the session names none."""
+    """The folder in spark.checkpoint.dir, which the driver and all executors share.
+
+    Where the session names none, a local session (a single machine) gets one of its own; a cluster is told to set one,
+    as a folder of one machine would be lost with it.
+    """
     sc = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not at:
-        at = "/tmp/tariffloom-shared"
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="tariffloom-")
         sc.setCheckpointDir(at)
     return at.rstrip("/")
 
@@ -64,13 +81,19 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
-    if _scopes:
-        _scopes[-1].append(out)
+    if _scopes():
+        _scopes()[-1].append(out)
     return out
 
 
-#: Staged tables of the scoped functions that are running, the innermost last.
-_scopes: list[list[DataFrame]] = []
+_here = threading.local()
+
+
+def _scopes() -> list[list[DataFrame]]:
+    """Staged tables of the scoped functions that run in this thread, the innermost last."""
+    if not hasattr(_here, "scopes"):
+        _here.scopes = []
+    return _here.scopes
 
 
 def scoped(make):
@@ -78,15 +101,16 @@ def scoped(make):
 
     @functools.wraps(make)
     def run(*args, **more) -> DataFrame:
-        _scopes.append([])
-        own = _scopes[-1]
+        scopes = _scopes()
+        scopes.append([])
+        own = scopes[-1]
         try:
             out = make(*args, **more)
-            _scopes.pop()
+            scopes.pop()
             return stage(out, make.__name__)
         finally:
-            if _scopes and _scopes[-1] is own:
-                _scopes.pop()
+            if scopes and scopes[-1] is own:
+                scopes.pop()
             for df in own:
                 drop_staged(df)
 
@@ -203,17 +227,18 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes."""
+        """A 64-bit hash of each word's bytes: every byte counts by its value and its place, whatever the word's length."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
         lo = self.start[0]
         span = np.diff(np.append(self.start, len(self.data)))
         place = np.arange(len(self.data) - lo)
         place -= np.repeat(self.start - lo, span)
-        place &= 4095
         value = _BYTE[self.data[lo:]]
         value[self.apart[self.data[lo:]]] = 0
-        value *= _PLACE[place]
+        longest = int((self.end - self.start).max())
+        np.minimum(place, longest - 1, out=place)  # what lies after a word counts nothing
+        value *= places(longest)[place]
         total = np.add.reduceat(value, self.start - lo)
         return mix(total + (self.end - self.start).astype(np.uint64) * _M3)
 

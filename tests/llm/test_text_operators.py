@@ -37,6 +37,16 @@ def test_words_are_those_of_split(texts):
     assert len(set(chain(h, at, 3).tolist())) == len(set(grams))
 
 
+@pytest.mark.parametrize("size", [17, 4096, 20_000, 70_000])
+def test_long_words_with_exchanged_blocks_are_different_words(size):
+    rng = np.random.default_rng(size)
+    a, b = ("".join(map(chr, rng.integers(97, 123, size))) for _ in range(2))
+    thue = "".join("ab"[bin(k).count("1") & 1] for k in range(4096))
+    texts = [a + b, b + a, a + a, b + b, thue, thue.translate(str.maketrans("ab", "ba"))]
+    h = Words(strings(pa.array([" ".join(texts), *texts])), 0, 7).hashes()
+    assert len(set(h.tolist())) == 6 and h[:6].tolist() == h[6:].tolist()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 32), min_size=0, max_size=120))
 def test_packing_plan_places_every_piece(lengths):
@@ -208,9 +218,12 @@ def test_trees_agree_with_a_plain_walk():
         assert abs(total - raw) < 1e-9
 
 
-@pytest.mark.parametrize("sizes", [(200_000, 1_000_000), (20, 30), (5, 0)])
+@pytest.mark.parametrize("sizes", [(1_000_000, 1 << 20, 1 << 20), (20, 3000, 500), (5, 50, 10)])
 def test_language_model(spark, monkeypatch, sizes):
-    monkeypatch.setattr(lm_score.build_code, "__defaults__", sizes)
+    monkeypatch.setattr(lm_score, "DICTIONARY", sizes[0])
+    monkeypatch.setattr(lm_score, "PART", sizes[1])
+    monkeypatch.setattr(lm_score, "FLUSH", sizes[2])
+    monkeypatch.setattr(lm_score, "HOT", sizes[1])
     docs = documents(spark)
     rows = lm_score.score(docs, lambda c: c != 12).collect()
     train = [t or "" for i, t in ROWS if i not in (None, 12)]
@@ -227,20 +240,94 @@ def test_language_model(spark, monkeypatch, sizes):
     assert {r.doc_id for r in rows if r.held_out} == {None, 12}
 
 
+def _code(n=12, seed=5, parts=1):
+    rng = np.random.default_rng(seed)
+    h = np.sort(rng.integers(1, 2**63, n, dtype=np.uint64))
+    return lm_score.make_code(h, rng.integers(2, 60, n), 9, 4, rng.integers(0, 50, 256), 500, n, parts)
+
+
+def test_prefix_codes_know_the_weight_below_every_node():
+    rng = np.random.default_rng(2)
+    for weights in ([1, 1], [5, 1, 1], rng.integers(1, 1000, 300), 2.0 ** np.arange(60)):
+        t = lm_score.tree(np.array(weights))
+        path = [format(int(c), f"0{lm_score.TOP}b")[: int(k)] for c, k in zip(t.code, t.size, strict=True)]
+        assert len(set(path)) == len(path) and sum(2.0 ** -len(p) for p in path) == 1
+        for depth in range(max(map(len, path)) + 1):
+            got = t.above(np.arange(len(path)), depth)
+            for p, w, x in zip(path, t.weight, got, strict=True):
+                want = w if len(p) <= depth else sum(v for q, v in zip(path, t.weight, strict=True) if q[:depth] == p[:depth])
+                assert abs(want - x) <= 1e-9 * want
+
+
+def _slow(t, mixer, rows, k):
+    """The log probability of row k, bit by bit from the counts of all rows (near, far, symbol, n)."""
+    path = lambda s: format(int(t.code[s]), f"0{lm_score.TOP}b")[: int(t.size[s])]
+    near, far, sym, _ = rows[k]
+    out, p = 0.0, path(sym)
+    for d in range(len(p)):
+        below = lambda own, d: sum(n for a, b, s, n in rows if own(a, b) and path(s)[:d] == p[:d])  # noqa: E731, B023
+        c1, d1 = (below(lambda a, _: a == near, x) for x in (d, d + 1))
+        c2, d2 = (below(lambda _, b: b == far, x) for x in (d, d + 1))
+        weight = lambda d: sum(w for s, w in enumerate(t.weight) if path(s)[:d] == p[:d])  # noqa: E731, B023
+        if not c1:
+            return out + np.log(t.weight[sym] / weight(d))
+        share = weight(d + 1) / weight(d)
+        one = (d1 + 4 * share) / (c1 + 4)
+        two = (d2 + 2 * one) / (c2 + 2)
+        x = [np.log(q / (1 - q)) for q in (share, one, two)]
+        level = lambda c, most: min(int(c).bit_length(), most)
+        sure1, sure2 = d1 in (0, c1), d2 in (0, c2)
+        z = float(np.dot(mixer.weights[((level(c1, 7) * 5 + level(c2, 4)) * 2 + sure1) * 2 + sure2], x))
+        z += np.sign(z) * mixer.fixes[(level(c2, 4) * 2 + sure2) * lm_score.BANDS + min(int(abs(z) * 2), lm_score.BANDS - 1)]
+        out -= np.log1p(np.exp(-z))
+    return out
+
+
+def test_language_model_agrees_with_a_bit_by_bit_scorer():
+    rng = np.random.default_rng(8)
+    code = _code(40)
+    rows = sorted({(int(a), int(a) * 10 + int(b), int(s)) for a, b, s in zip(rng.integers(0, 5, 300), rng.integers(0, 4, 300), rng.integers(0, code.spelt, 300) // rng.integers(1, 9, 300), strict=True)}, key=lambda r: (r[0], r[1], code.words.code[r[2]]))
+    n = rng.integers(0, 4, len(rows))
+    mixer = lm_score.Mixer()
+    near, far, sym = (np.array(v) for v in zip(*rows, strict=True))
+    got = lm_score.predict(code.words, near.astype(np.uint64), far.astype(np.uint64), sym, n, mixer)
+    assert np.abs(mixer.weights - lm_score.Mixer().weights).max() > 0.01 and np.abs(mixer.fixes).max() > 0.001
+    flat = [(*r, int(c)) for r, c in zip(rows, n, strict=True)]
+    want = np.array([_slow(code.words, mixer, flat, k) for k in range(len(rows))])
+    assert np.abs(got - want).max() < 1e-4 and abs(got.sum() - want.sum()) < 1e-6 * abs(want.sum())
+
+
 def test_language_model_is_a_distribution():
-    """The probabilities of all one-word texts over a small closed alphabet of words sum to at most one."""
-    words = [b"aa", b"bb", b"cc"]
-    column = strings(pa.array(["aa", "bb", "cc"]))
-    h = Words(column, 0, 3, True).hashes()
-    order = np.argsort(h)
-    paths = lm_score.word_tree(np.array([5, 3, 2]), 1, 4, np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256))
-    none = np.zeros(0, np.uint64)
-    code = lm_score.Code(h[order], np.array([5, 3, 2]), none, none.astype(np.int64), *paths, 0.0, 0.0, 14, 1)
-    empty_tables = [np.zeros(k, np.int16) for k in lm_score.SLOTS]
-    w = Words(column, 0, 3, True)
-    s = lm_score.score_group(w, w.hashes(), code, empty_tables)
-    none = Words(strings(pa.array([""])), 0, 1, True)
-    assert (10.0**s).sum() + 10.0 ** lm_score.score_group(none, none.hashes(), code, empty_tables)[0] < 1
+    """Under every context, seen or not, the probabilities of all symbols sum to one, of words and of bytes."""
+    rng = np.random.default_rng(3)
+    code = _code(30)
+    for first, t in ((0, code.words), (code.spelt, code.bytes)):
+        m = len(t.size)
+        k1 = np.repeat(np.array([1, 2, 3, 4], np.uint32), m) if not first else np.repeat(lm_score._BYTES + np.arange(4, dtype=np.uint32), m)
+        k2 = np.repeat(np.array([7, 7, 8, 9], np.uint32), m)
+        n = rng.integers(0, 5, 4 * m) * (rng.random(4 * m) < 0.3)
+        n[3 * m :] = 0
+        logs = lm_score.score_part(code, k1, k2, np.tile(np.arange(m) + first, 4), n)
+        assert np.abs(np.exp(logs).reshape(4, m).sum(1) - 1).max() < 1e-5
+
+
+def test_language_model_slices_and_parts_do_not_change_the_counts(monkeypatch):
+    rng = np.random.default_rng(6)
+    code = _code(200)
+    k1, k2, sym = (rng.integers(0, m, 4000).astype(np.uint32) for m in (50, 6, code.spelt))
+    n = rng.integers(0, 3, 4000)
+    monkeypatch.setattr(lm_score, "RATE", 0.0)  # the mixer aside
+    whole = lm_score.score_part(code, k1, k2, sym, n)
+    monkeypatch.setattr(lm_score, "SLICE", 64)
+    assert np.abs(lm_score.score_part(code, k1, k2, sym, n) - whole).max() < 1e-5
+    own = code.part_of(k1, k2)
+    assert (own == 0).all()
+    parted = _code(200, parts=5)
+    of = parted.part_of(k1, k2)
+    assert len(set(of.tolist())) == 5
+    for p in range(5):
+        at = of == p
+        assert np.abs(lm_score.score_part(parted, k1[at], k2[at], sym[at], n[at]) - whole[at]).max() < 1e-5
 
 
 def test_language_model_contexts_do_not_fade_with_the_corpus(spark):
@@ -254,40 +341,20 @@ def test_language_model_contexts_do_not_fade_with_the_corpus(spark):
     assert got[200] > got[201] + 0.3
 
 
-def test_language_model_counts_of_contexts_are_exact():
-    """Predictions of whole contexts against the counts of every node, one by one."""
-    rng = np.random.default_rng(5)
-    paths = lm_score.word_tree(rng.integers(1, 50, 60), 5, 4, np.ones(256, np.int64))
-    none = np.zeros(0, np.uint64)
-    code = lm_score.Code(np.arange(60, dtype=np.uint64), np.ones(60, np.int64), none, none.astype(np.int64), *paths, 0.0, 0.0, 14, 1)
-    rows = {(int(k), int(s)): int(n) for k, s, n in zip(rng.integers(0, 4, 150), rng.integers(0, 60, 150), rng.integers(0, 4, 150), strict=True)}
-    key, sym = (np.array(v) for v in zip(*rows, strict=True))
-    way = lambda s: [(int(code.nodes[i]), int(code.bits[i])) for i in range(code.start[s], code.start[s + 1])]
-    tally = Counter()
-    for (k, s), n in rows.items():
-        for node, bit in way(s):
-            tally[k, node, bit] += n
-    q, size, value = lm_score.path_predictions(code, key.astype(np.uint64), sym, np.array(list(rows.values())))
-    got = dict(zip(q.tolist(), np.split(value, np.cumsum(size)[:-1]), strict=True))
-    for (k, s), h in zip(rows, lm_score.asked(key.astype(np.uint64), sym).tolist(), strict=True):
-        seen = [(tally[k, node, 0], tally[k, node, 1]) for node, _ in way(s)]
-        want = [lm_score.encoded(np.array([a]), np.array([b]))[0] for a, b in seen if a + b]
-        assert got.get(h, np.zeros(0)).tolist() == want
-
-
-def test_language_model_predicts_rare_words_to_the_last_bit(spark, monkeypatch):
-    """A rare word that always follows another costs little there, be it in the first dictionary or in the second."""
+def test_language_model_tells_repeated_texts_apart(spark):
+    """A text of the training set that occurs twice is likelier than one that occurs once; copies have one score."""
     rng = np.random.default_rng(4)
-    filler = [(k, " ".join(f"w{i}" for i in rng.integers(0, 3000, 4000))) for k in range(10)]
-    pairs = [(100 + k, f"w{k} " + "left right " * 6) for k in range(3)]
-    docs = spark.createDataFrame([*filler, *pairs, (200, "left right " * 6)], "doc_id long, text string")
-    for sizes, least in (((200_000, 1_000_000), -9), ((20, 10_000), -12)):
-        monkeypatch.setattr(lm_score.build_code, "__defaults__", sizes)
-        got = {r.doc_id: r.score for r in lm_score.score(docs, lambda c: c < 200).collect()}
-        assert got[200] > least
-
-
-def test_language_model_adapts_within_short_texts():
-    """Weights change after 8, 24 and 56 symbols, then after each 64; a short text has several blocks."""
-    block = lm_score.block_of(np.arange(400))
-    assert np.flatnonzero(np.diff(block)).tolist() == [7, 23, 55, 119, 183, 247, 311, 375] and np.diff(block).max() == 1
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 500, 150)) for _ in range(60)]
+    rows = list(enumerate(texts)) + [(100 + k, texts[k]) for k in range(15)]
+    docs = spark.createDataFrame([*rows, (500, None), (501, ""), (None, texts[3])], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm_score.score(docs, lambda c: c < 400).collect()}
+    assert all(abs(got[k].score - got[100 + k].score) < 1e-3 for k in range(15)) and got[500].score == got[501].score
+    twice, once = [got[k].score for k in range(15)], [got[k].score for k in range(15, 60)]
+    assert np.mean(twice) > np.mean(once) + 5 and max(once) < np.median(twice)
+
+
+def test_language_model_columns_survive_the_way():
+    rng = np.random.default_rng(1)
+    columns = [rng.integers(0, 2**31, 500).astype("<u4"), rng.integers(0, 2**15, 500).astype("<u2"), rng.normal(size=500)]
+    back = lm_score._expand(lm_score._press(*columns), "<u4", "<u2", "<f8")
+    assert all((a == b).all() for a, b in zip(columns, back, strict=True))
