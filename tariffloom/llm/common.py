@@ -6,6 +6,8 @@ hashing them is a handful of numpy passes over bytes and no Python object is mad
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import ctypes
 import functools
 import tempfile
@@ -83,9 +85,22 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     out._staged_at = path
     if _scopes():
         _scopes()[-1].append(out)
+    else:
+        _left.append(out)
     return out
 
 
+#: Staged results: a plan may read them as long as its session lives, so they go when the program ends.
+_left: list[DataFrame] = []
+
+
+@atexit.register
+def _clear_away() -> None:
+    for df in _left:
+        with contextlib.suppress(Exception):  # the session may be gone before
+            drop_staged(df)
+
+
 _here = threading.local()
 
 
@@ -133,6 +148,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """A column name that none of the tables has in any case: the name itself, or with underscores after it."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def one_text_of_id(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """(doc_id, label, text) of the ids in own (doc_id, label), a bounded table: of several texts of one id that with the
+    smallest hash, so there are never more rows than ids."""
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(own), "doc_id")
+    return text.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def crc_mod(col, n: int):
     """crc32 of the id written as text, modulo n; null for a null id."""
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(n))

@@ -5,6 +5,7 @@ COVER. For any shift between two documents there is a cover position in every PE
 position in both; so two equal windows of ANCHOR + PERIOD - 1 words share an aligned anchor. Anchors that several
 documents share are extended: the windows around them, and no others, are hashed and compared by their smallest document.
 
+A window is known by 96 bits of hash, so that among 10^13 of them no two different ones are expected to be taken for equal.
 Anchors and windows that meet within a task are settled there and go on as one row, so a passage in a third of all
 documents is a few rows for each task, not one for each document. Texts travel once; both joins read that exchange.
 """
@@ -47,8 +48,8 @@ def _runs(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return order, start, doc[order][start] != doc[order][last]
 
 
-_NAMES = ["key", "doc", "own"]
-_SCHEMA = "key long, doc long, own array<long>"
+_NAMES = ["key", "doc", "own", "more"]
+_SCHEMA = "key long, doc long, own array<long>, more int"
 
 
 def _lists(doc: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
@@ -58,11 +59,22 @@ def _lists(doc: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
     start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, np.int64)
     lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(value)).astype(np.int32)), pa.array(value, pa.int64()))
     key = mix(doc[start].astype(np.uint64) + np.uint64(start.size))
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc[start], pa.int64()), lists], _NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc[start], pa.int64()), lists, pa.nulls(len(start), pa.int32())], _NAMES)
 
 
-def _rows(key: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc, pa.int64()), pa.nulls(len(key), pa.list_(pa.int64()))], _NAMES)
+def _rows(key: np.ndarray, doc: np.ndarray, more: np.ndarray | None = None) -> pa.RecordBatch:
+    further = pa.nulls(len(key), pa.int32()) if more is None else pa.array(more, pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc, pa.int64()), pa.nulls(len(key), pa.list_(pa.int64())), further], _NAMES)
+
+
+def further_bits(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """32 bits of a second hash of the window from each position, independent of the first."""
+    out = np.full(len(at), np.uint64(0x6A09E667F3BCC909))
+    for j in range(WINDOW):
+        out *= np.uint64(0xA24BAED4963EE407)
+        out ^= out >> np.uint64(31)
+        out += h[at + j]
+    return (mix(out) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _each_settled(batches: Iterator[pa.RecordBatch], texts, of_group, settle) -> Iterator[pa.RecordBatch]:
@@ -117,8 +129,8 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
 
 
 def find_windows(docs: DataFrame) -> DataFrame:
-    """Of (doc, packed text, own: anchor positions, ...): rows (key: hash, doc) with one document for each window and task, and rows
-    (key, doc, own) of windows that a smaller document of the task has, as runs: start and half of the first hash, length."""
+    """Of (doc, packed text, own: anchor positions, ...): rows (key: hash, doc, more: further bits) with one document for each window and task,
+    and rows (key, doc, own) of windows that a smaller document of the task has, as runs: start and half of the first hash, length."""
 
     def of_group(batch: pa.RecordBatch, text: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, ...]:
         w = Words(text, lo, hi)
@@ -137,12 +149,12 @@ def find_windows(docs: DataFrame) -> DataFrame:
         start = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
         start = start[start + WINDOW <= w.first[1:][w.doc[start]]]
         doc = w.doc[start]
-        return chain(h, start, WINDOW), batch.column(0).to_numpy(zero_copy_only=False)[lo:hi][doc], start - w.first[doc]
+        return chain(h, start, WINDOW), batch.column(0).to_numpy(zero_copy_only=False)[lo:hi][doc], start - w.first[doc], further_bits(h, start)
 
-    def settle(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def settle(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, more: np.ndarray) -> Iterator[pa.RecordBatch]:
         order, start, _ = _runs(key, doc)
         first = order[start]
-        yield _rows(key[first], doc[first])
+        yield _rows(key[first], doc[first], more[first])
         later = np.sort(order[doc[order] > np.repeat(doc[first], np.diff(np.append(start, len(key))))])
         if len(later):  # gathered document by document in order of position, so runs are consecutive
             head = np.append(True, (doc[later][1:] != doc[later][:-1]) | (pos[later][1:] != pos[later][:-1] + 1))
@@ -155,7 +167,7 @@ def find_windows(docs: DataFrame) -> DataFrame:
 
 def windows_to_remove(rows: DataFrame) -> DataFrame:
     """(doc, runs, hashes) of the windows that a smaller document has. rows: see `find_windows`."""
-    met = rows.withColumn("low", F.min("doc").over(W.partitionBy("key"))).where("own is not null or doc > low")
+    met = rows.withColumn("low", F.min("doc").over(W.partitionBy("key", "more"))).where("own is not null or doc > low")
     told = met.groupBy("doc").agg(F.flatten(F.collect_list("own")).alias("runs"), F.collect_list(F.when(F.col("own").isNull(), F.col("key"))).alias("hashes"))
     return told
 
