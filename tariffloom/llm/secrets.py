@@ -2,8 +2,10 @@
 
 Candidate strings are runs of key characters. A window moves over each; the counts of its characters change by one in
 and one out, and with them the sum of c * log2(c), from which the entropy follows. The limit depends on the character
-class of the window (hex digits, letters and digits, all base-64 characters). Allow-listed strings (digests after a known prefix, UUIDs, paths, placeholders and
-strings that are plain words) are suppressed; what the base patterns find stays in any case.
+class of the window (hex digits, letters, letters and digits, all base-64 characters). Windows that overlap make one span, so
+plain text between two keys of a string is no part of either. Allow-listed strings (digests after a known prefix, UUIDs, paths and
+strings that are plain words) are suppressed, and so are spans that are mostly a placeholder; what the base patterns find
+stays in any case.
 """
 
 from __future__ import annotations
@@ -26,15 +28,16 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # whole runs: a run is matched from its firs
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: Bits a character from which a window of this class counts as random.
-LIMITS = {"hex": 3.0, "alnum": 3.7, "base64": 3.9}
+LIMITS = {"hex": 3.0, "alnum": 3.7, "base64": 3.9, "letters": 4.05}
 #: Strings that are never reported by entropy alone.
 ALLOW = [
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),
     re.compile(r"(?i)(sha(1|224|256|384|512)|md5)[-_=].*"),
-    re.compile(r"(?i).*(example|placeholder|changeme|xxxxxxxx|00000000|abcdefgh|12345678).*"),
     re.compile(r"[A-Za-z]*[/_-]?([a-z]{2,}[/_-])+[a-z]*"),
     re.compile(r"[A-Za-z]?[a-z]*|[A-Z]+|[0-9]+|[-_=+/]+"),
 ]
+#: Parts of made-up keys. A span of which they are half or more is not reported.
+PLACEHOLDER = re.compile(r"(?i)example|placeholder|changeme|xxxxxxxx|00000000|abcdefgh|12345678")
 
 _CLOG = [0.0, 0.0, *(c * math.log2(c) for c in range(2, WINDOW + 1))]
 _HEX_CHARS = frozenset("0123456789abcdef")
@@ -43,20 +46,24 @@ _HEX_CHARS = frozenset("0123456789abcdef")
 def class_of(counts: dict[str, int]) -> str:
     if all(c in _HEX_CHARS for c in counts):
         return "hex"
+    if all(c.isalpha() for c in counts):
+        return "letters"
     return "alnum" if all(c.isalnum() for c in counts) else "base64"
 
 
-def random_windows(s: str, width: int = WINDOW) -> tuple[int, int] | None:
-    """From the first to the end of the last window of s whose entropy reaches the limit of its class and that holds
-    digits as well as letters; None if none does. Shorter strings have no window."""
+def random_windows(s: str, width: int = WINDOW) -> list[tuple[int, int]]:
+    """Spans of s: maximal runs of overlapping windows whose entropy reaches the limit of their class. Letters must come in
+    both cases; all other windows must hold digits as well as letters. Shorter strings have no window."""
     counts: dict[str, int] = {}
-    total, first, last, digits, letters = 0.0, -1, -1, 0, 0
+    total, digits, letters, capitals = 0.0, 0, 0, 0
+    out: list[tuple[int, int]] = []
     for i, c in enumerate(s):
         n = counts.get(c, 0)
         total += _CLOG[n + 1] - _CLOG[n]
         counts[c] = n + 1
         digits += c.isdigit()
         letters += c.isalpha()
+        capitals += c.isupper()
         if i >= width:
             old = s[i - width]
             n = counts[old]
@@ -67,11 +74,23 @@ def random_windows(s: str, width: int = WINDOW) -> tuple[int, int] | None:
                 counts[old] = n - 1
             digits -= old.isdigit()
             letters -= old.isalpha()
-        if i >= width - 1 and digits and letters:
+            capitals -= old.isupper()
+        if i >= width - 1 and letters and (digits or 0 < capitals < letters):
             bits = math.log2(width) - total / width
-            if bits >= LIMITS["hex"] and bits >= LIMITS[class_of(counts)]:
-                first, last = (i - width + 1 if first < 0 else first), i + 1
-    return None if first < 0 else (first, last)
+            if bits >= LIMITS["hex"]:
+                kind = class_of(counts)
+                if bits >= LIMITS[kind] and (digits or kind == "letters"):
+                    lo = i - width + 1
+                    if out and lo < out[-1][1]:
+                        out[-1] = (out[-1][0], i + 1)
+                    else:
+                        out.append((lo, i + 1))
+    return out
+
+
+def made_up(s: str) -> bool:
+    """Whether half of a span or more is placeholders."""
+    return 2 * sum(m.end() - m.start() for m in PLACEHOLDER.finditer(s)) >= len(s)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
@@ -85,10 +104,9 @@ def scan(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, st
         s = m.group()
         if any(a.fullmatch(s) for a in ALLOW):
             continue
-        found = random_windows(s)
-        if found:
-            lo, hi = m.start() + found[0], m.start() + found[1]
-            if not any(a <= lo and hi <= b for a, b, _ in base):
+        for a, b in random_windows(s):
+            lo, hi = m.start() + a, m.start() + b
+            if not made_up(s[a:b]) and not any(x <= lo and hi <= y for x, y, _ in base):
                 more.append((lo, hi, 3))
     name = lambda xs: [(a, b, KINDS[k]) for a, b, k in xs]
     return name(base), name(sorted(base + more, key=lambda x: (x[0], x[2])))
@@ -153,6 +171,7 @@ def base_digest(text: str) -> str:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents, with null or repeated ids as they are; a null text has no spans; an empty table no rows."""
     out = scan_documents(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(digest("base").cast("binary"), 256).alias("base_sha256"), digest("found").alias("spans"))
 
