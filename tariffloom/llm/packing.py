@@ -9,6 +9,7 @@ so there are few of them. Executors then give each piece the slot of its rank am
 
 from __future__ import annotations
 
+import contextlib
 import json
 import zlib
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import scoped, stage, strings, table
+from tariffloom.llm.common import fresh, scoped, stage, strings, table
 
 SEQ_LEN, END_ID = 1024, 2
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, chunk int, place long"
@@ -73,8 +74,9 @@ class Encoder:
         return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={a["content"]: a["id"] for a in d["added_tokens"]})
 
     def __call__(self, text: str) -> np.ndarray:
-        if self.fast is not None and len(text) < 1_000_000:
-            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+        if self.fast is not None:
+            with contextlib.suppress(ValueError):  # its splitter gives up on very long runs of white space
+                return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
 
 
@@ -188,10 +190,12 @@ def slots(patterns: list[tuple[int, list[tuple[int, int, int]]]]) -> dict[int, n
 def pack(parts: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     """Adds sequence_id and offset to pieces (see `pieces`). An empty table stays empty.
 
-    Full pieces are sequences of their own, numbered below zero. Extra columns stay.
+    Full pieces are sequences of their own, numbered below zero. Extra columns stay, whatever their names; only columns
+    named sequence_id and offset are replaced.
     """
     spark = parts.sparkSession
-    parts = stage(parts, "pieces")
+    parts = stage(parts.drop("sequence_id", "offset"), "pieces")
+    rank_name, rank0 = fresh("rank", parts), fresh("rank0", parts)
     full = parts.where(F.col("length") >= seq_len)
     short = parts.where(F.col("length") < seq_len)
     tally = stage(short.groupBy("chunk", "length").agg(F.count("*").alias("n")), "tally")
@@ -199,14 +203,14 @@ def pack(parts: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
     for r in tally.groupBy("length").agg(F.sum("n").alias("n")).collect():  # a row for each length: below seq_len
         counts[r["length"]] = r["n"]
     where = spark.sparkContext.broadcast(slots(plan(counts, seq_len)))
-    before = tally.select("chunk", "length", (F.sum("n").over(W.partitionBy("length").orderBy("chunk")) - F.col("n")).alias("rank0"))
+    before = tally.select("chunk", "length", (F.sum("n").over(W.partitionBy("length").orderBy("chunk")) - F.col("n")).alias(rank0))
     schema = parts.schema
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("rank").to_numpy(zero_copy_only=False)
+            rank = batch.column(rank_name).to_numpy(zero_copy_only=False)
             seq, off = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             order = np.argsort(length, kind="stable")
             cuts = np.flatnonzero(np.diff(length[order])) + 1
@@ -219,7 +223,7 @@ def pack(parts: DataFrame, seq_len: int = SEQ_LEN) -> DataFrame:
                     seq[own], off[own] = r[:, 2] + d // r[:, 1], r[:, 3] + d % r[:, 1] * x
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(seq), pa.array(off)], [*names, "sequence_id", "offset"])
 
-    ranked = short.join(before, ["chunk", "length"]).select(*names, (F.col("place") + F.col("rank0")).alias("rank"))
+    ranked = short.join(before, ["chunk", "length"]).select(*names, (F.col("place") + F.col(rank0)).alias(rank_name))
     out = ranked.mapInArrow(run, T_add(schema))
     alone = full.select(*names, (-(F.col("chunk").cast("long") * F.lit(1 << 32) + F.col("place") + 1)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return out.unionByName(alone)
@@ -232,6 +236,7 @@ def T_add(schema):
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; a null text is the end id alone, rows with null or repeated ids are pieces of their own."""
     import public_tokenizers
 
     parts = pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
