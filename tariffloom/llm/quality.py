@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm.common import Words, crc_mod, groups, strings, table
+from tariffloom.llm.common import Words, crc_mod, groups, one_text_of_id, strings, table
 
 #: The most labelled rows that the trees are grown on, the first by a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -161,9 +161,13 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn, label_col: str = "quality", rows: int = SAMPLE_ROWS) -> Trees:
-    """Grows the trees. learn: takes the id column, says which labelled rows may be learned from."""
+    """Grows the trees. learn: takes the id column, says which labelled rows may be learned from.
+
+    At most `rows` texts are used, one for each id: null ids and labels never, of repeated labels the larger. Without labels
+    or documents the trees are empty and score one half.
+    """
     own = sample_of(labels, label_col, learn, rows)  # bounded by rows, so it may be broadcast
-    got = measure(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(own), "doc_id")).toArrow()
+    got = measure(one_text_of_id(docs, own)).toArrow()
     y = got.column("label").to_numpy().astype(float)
     x = np.array(got.column("x").to_pylist()).reshape(len(y), len(FEATURES))
     order = np.lexsort((*x.T, y))  # the same trees whatever order the rows came in
@@ -188,9 +192,10 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; a row with a null id is held out, as it is never learned from."""
     docs = table(spark, sf_dir, "documents")
     trees = train(docs, table(spark, sf_dir, "labels"), lambda c: crc_mod(c, 3) != 1)
-    return score(docs, trees).select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+    return score(docs, trees).select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(True)).alias("held_out"), "score", "predicted")
 
 
 QUERIES = {"op2_quality": op2_quality}
