@@ -21,13 +21,19 @@ from pyspark.sql import functions as F
 from tariffloom.llm.common import groups, strings, table
 from tariffloom.llm.packing import byte_alphabet
 
-#: Words that a task remembers; when full, it starts again.
-REMEMBERED = 300_000
+#: Words that a task remembers, and their bytes; when full, it starts again.
+REMEMBERED, REMEMBERED_BYTES = 300_000, 16 << 20
 _NONE = np.int64(1) << 40
 
 _models: dict[int, WordBpe] = {}
 
 
+class Known(dict):
+    """Words with what is known of them, and how many characters they have."""
+
+    size = 0
+
+
 class WordBpe:
     """A BPE model with a word-end mark, NFC and lower-case normalisation, and a splitting pattern whose matches are words.
 
@@ -115,14 +121,15 @@ class WordBpe:
         order = np.argsort(of, kind="stable")
         return np.split(ids[order], np.searchsorted(of[order], np.arange(1, len(words))))
 
-    def learn(self, words: list[str], known: dict[str, tuple[int, str, str]]) -> None:
+    def learn(self, words: list[str], known: Known) -> None:
         """Adds (number of ids, ids as text, decoded text) of the words that are not known."""
         new = [w for w in set(words) if w not in known]
         if not new:
             return
-        if len(known) + len(new) > REMEMBERED:
+        if len(known) + len(new) > REMEMBERED or known.size + sum(map(len, new)) > REMEMBERED_BYTES:
             known.clear()
-            new = list(set(words))
+            known.size, new = 0, list(set(words))
+        known.size += sum(map(len, new))
         for w in [w for w in new if w in self.added]:
             known[w] = (1, str(self.added[w]), w)
         new = [w for w in new if w not in self.added]
@@ -132,7 +139,7 @@ class WordBpe:
 
     def encode(self, text: str) -> list[int]:
         words = self.split(text)
-        known: dict[str, tuple[int, str, str]] = {}
+        known = Known()
         self.learn(words, known)
         return [int(i) for w in words for i in known[w][1].split()]
 
@@ -157,7 +164,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, known = model(spec.value), {}
+        bpe, known = model(spec.value), Known()
         for batch in batches:
             ids, texts = batch.column(0), strings(batch.column(1))
             for lo, hi in groups(texts):
@@ -191,6 +198,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of documents; null ids and repeated ids stay, a null text has no tokens."""
     import public_tokenizers
 
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
