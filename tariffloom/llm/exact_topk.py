@@ -1,21 +1,27 @@
 """Exact top-k search by inner product with vector-approximation files.
 
-Rows and queries are dealt into blocks, and each pair of blocks is one group. Within it every component is quantised to
-a cell; from the cells follows an upper bound of each score, and exact vectors are read in order of their bounds until
-the kth score is certain. The best of all blocks are then ranked. All work is bounded by the block sizes.
+Equal vectors are one class with its k + 1 smallest ids, which is all that any query can ask of it. The approximation file
+holds one byte for each component of a class: its cell between the least and the largest value of that component. A scan of
+the cells alone, in blocks of classes by blocks of queries, bounds every score from both sides; what lies
+below k lower bounds is out. The exact vectors of the rest are read by a join in two steps, in order of their upper bounds:
+first the best of each query, then those whose bound still reaches the kth exact score. So the answer is exact, and exact
+vectors travel only for the few classes that need them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import table
+from tariffloom.llm.common import scoped, stage, table
 
-ROW_BLOCK, QUERY_BLOCK, CELLS, FIRST_READ = 2048, 1024, 16, 16
+#: Classes and queries of a block, the least classes of a block in small tables, cells of a component, queries bounded at once.
+ROW_BLOCK, QUERY_BLOCK, LEAST_BLOCK, CELLS, AT_ONCE = 1 << 17, 1 << 14, 2048, 256, 64
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, kind) -> np.ndarray:
@@ -26,89 +32,144 @@ def matrix(column: pa.ChunkedArray | pa.Array, kind) -> np.ndarray:
     return flat.reshape(n, -1) if n else flat.reshape(0, 0)
 
 
-def best_of_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query, (its row, ids, scores) of the k best rows with another id; ties to smaller ids. Integers throughout."""
-    low, high = x.min(0).astype(float), x.max(0).astype(float)
+def cells_of(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The cell of each component: a byte."""
+    width = np.maximum((high - low) / CELLS, 1e-9)
+    return np.clip((x - low) / width, 0, CELLS - 1).astype(np.uint8)
+
+
+def bounds(q: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(upper bounds of the scores: queries x rows, how far below them the lower bounds are: for each query).
+
+    A component in a cell differs from its middle by half a width at most; the rest is for rounding.
+    """
     width = np.maximum((high - low) / CELLS, 1e-9)
-    cell = np.minimum(((x - low) / width).astype(np.uint8), CELLS - 1)
-    middle = low + (cell + 0.5) * width
-    qf = q.astype(float)
-    bound = qf @ middle.T
-    bound += (np.abs(qf) @ (width / 2))[:, None]
-    bound += 1e-6 * (1 + np.abs(bound))  # for rounding
-    bound[q_ids[:, None] == ids[None, :]] = -np.inf
+    middle = (low + (cells + 0.5) * width).astype(np.float32)
+    size = np.abs(q).astype(float)
+    half = size @ (width * 0.51)
+    slack = (q.shape[1] + 8) * 2.0**-22 * (size @ np.maximum(np.abs(low), np.abs(high))) + 1
+    upper = q.astype(np.float32) @ middle.T
+    upper += (half + slack).astype(np.float32)[:, None]
+    return upper, 2 * half + 3 * slack
+
+
+def kept_of_block(q_ids: np.ndarray, q: np.ndarray, only: np.ndarray, cells: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, upper bound, lower bound) of the pairs that may be among a query's k best of these rows.
+
+    only: the id of a class with one id, else -1 with `many` below; a query's own class is left out if nobody else is in it.
+    """
     out = []
-    for i in range(len(q)):
-        b = bound[i]
-        n = min(int(np.count_nonzero(b > -np.inf)), len(b))
-        if not n:
-            continue
-        m, read = min(FIRST_READ * k, n), 0
-        top_ids, top = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        order = np.argpartition(-b, m - 1)[:m] if m < n else np.argsort(-b)[:n]
-        order = order[np.argsort(-b[order])]
-        while True:
-            part = order[read:m]
-            top_ids, top = np.append(top_ids, ids[part]), np.append(top, x[part] @ q[i])
-            keep = np.lexsort((top_ids, -top))[:k]
-            top_ids, top, read = top_ids[keep], top[keep], m
-            if m == n or (len(top) == k and b[order[m - 1]] < top[-1]):
-                break
-            if len(order) == m:
-                order = np.argsort(-b)[:n]  # the same first m: equal bounds aside, and those are all read below
-                top_ids, top, read = top_ids[:0], top[:0], 0
-            m = min(2 * m, n)
-        out.append((i, top_ids, top))
-    return out
+    for lo in range(0, len(q), AT_ONCE):
+        part = slice(lo, lo + AT_ONCE)
+        upper, gap = bounds(q[part], cells, low, high)
+        upper[q_ids[part][:, None] == only[None, :]] = -np.inf
+        if upper.shape[1] > k:
+            least = np.partition(upper, upper.shape[1] - k, axis=1)[:, upper.shape[1] - k] - gap
+        else:
+            least = np.full(len(upper), -np.inf)
+        i, j = np.nonzero((upper >= least[:, None]) & (upper > -np.inf))
+        out.append((i + lo, j, upper[i, j].astype(float), upper[i, j] - gap[i]))
+    return tuple(np.concatenate(v) for v in zip(*out, strict=True))
 
 
+@scoped
 def top_k(rows: DataFrame, is_query, k: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows with the largest integer inner product for each query row.
 
-    Components become floor(scale * x). Null vectors, vectors with null or non-finite components and null ids take no
-    part; vectors of other lengths do not meet. A query's own id is never its answer; equal rows that ask the same are one
-    query, rows of one id with other vectors are queries of their own. Extra columns are left out.
+    Components become floor(scale * x). Null vectors, vectors with null or non-finite components or with products beyond a
+    long, and null ids take no part; vectors of other lengths do not meet. A query's own id is never its answer. Rows equal in
+    id and vector count once, rows of one id with other vectors are queries of their own. Extra columns are left out.
     """
     x = F.col("e")
     fine = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("e")).where(
-        F.col("id").isNotNull() & x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+        F.col("id").isNotNull() & (F.size(x) > 0) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v * scale) >= 2.0**31))
     )
-    vectors = fine.select("id", F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("v"), F.size(x).alias("dim"), is_query(F.col("id")).alias("asks"))
-    n = vectors.agg(F.count("*").alias("rows"), F.count_if("asks").alias("asks")).first()
-    row_blocks, query_blocks = max(1, -(-n["rows"] // ROW_BLOCK)), max(1, -(-n["asks"] // QUERY_BLOCK))
-    place = lambda m, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(m)).cast("int")
-    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    asked = vectors.where("asks").select("id", "v", "dim").distinct().select("id", "v", "dim", F.lit(True).alias("query"), place(query_blocks, 1).alias("qb"), every(row_blocks).alias("rb"))
-    answers = vectors.select("id", "v", "dim", F.lit(False).alias("query"), place(row_blocks, 2).alias("rb"), every(query_blocks).alias("qb"))
-
-    def run(t: pa.Table) -> pa.Table:
-        query = t.column("query").to_numpy()
-        ids, v = t.column("id").to_numpy(), matrix(t.column("v"), np.int64)
+    vectors = fine.select("id", F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("v"))
+    vectors = vectors.withColumn("key", F.unhex(F.md5(F.concat_ws(",", F.col("v").cast("array<string>")))))
+    first = F.row_number().over(W.partitionBy("key", "id").orderBy(F.lit(0)))
+    single = stage(vectors.withColumn("place", first).where("place = 1").drop("place"), "vectors")
+    place = F.row_number().over(W.partitionBy("key").orderBy("id"))
+    members = single.withColumn("place", place).where(F.col("place") <= k + 1)
+    # at most k + 1 rows of a class come here, each class's vector in the first
+    classes = members.groupBy("key").agg(F.min_by("v", "place").alias("v"), F.array_sort(F.collect_list("id")).alias("ids"))
+    classes = stage(classes.withColumn("dim", F.size("v")), "classes")
+    asked = single.where(is_query(F.col("id"))).select("id", "key", "v", F.size("v").alias("dim"))
+
+    def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, np.ndarray] = {}
+        for batch in batches:
+            dims = batch.column(1).to_numpy()
+            for d in np.unique(dims).tolist():
+                m = matrix(batch.column(0).filter(pa.array(dims == d)), np.int64)
+                both = np.stack([m.min(0), m.max(0)])
+                seen[d] = both if d not in seen else np.stack([np.minimum(seen[d][0], both[0]), np.maximum(seen[d][1], both[1])])
+        for d, both in seen.items():
+            yield pa.RecordBatch.from_arrays([pa.array([d], pa.int32()), pa.array([both[0].tolist()], pa.list_(pa.int64())), pa.array([both[1].tolist()], pa.list_(pa.int64()))], ["dim", "low", "high"])
+
+    edges: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for r in classes.select("v", "dim").mapInArrow(extremes, "dim int, low array<long>, high array<long>").toLocalIterator():  # two vectors a length and task
+        low, high = np.array(r["low"], float), np.array(r["high"], float)
+        edges[r["dim"]] = (low, high) if r["dim"] not in edges else (np.minimum(edges[r["dim"]][0], low), np.maximum(edges[r["dim"]][1], high))
+    edge = rows.sparkSession.sparkContext.broadcast(edges)
+
+    def approximate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(2).to_numpy()
+            for d in np.unique(dims).tolist():
+                own = batch.filter(pa.array(dims == d))
+                cells = cells_of(matrix(own.column(1), float), *edge.value[d])
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), pa.array([c.tobytes() for c in cells], pa.binary()), own.column(3)], ["key", "dim", "cells", "only"])
+
+    alone = F.when(F.size("ids") == 1, F.get("ids", F.lit(0)))
+    file = stage(classes.select("key", "v", "dim", alone.alias("only")).mapInArrow(approximate, "key binary, dim int, cells binary, only long"), "cells")
+    asked = stage(asked, "queries")
+    n, m = file.count(), asked.count()
+    row_blocks = max(1, -(-n // ROW_BLOCK), min(8, -(-n // LEAST_BLOCK)))
+    query_blocks = max(1, -(-m // QUERY_BLOCK))
+    block = lambda size, *c: F.pmod(F.xxhash64(*c), F.lit(size)).cast("int")
+    every = lambda size: F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
+    none = lambda kind: F.lit(None).cast(kind)
+    left = asked.select("dim", every(row_blocks).alias("rb"), block(query_blocks, "id", "key").alias("qb"), "id", "key", "v", none("binary").alias("cells"))
+    right = file.select("dim", block(row_blocks, "key").alias("rb"), every(query_blocks).alias("qb"), F.col("only").alias("id"), "key", none("array<long>").alias("v"), "cells")
+
+    def scan(t: pa.Table) -> pa.Table:
+        query = t.column("v").is_valid().to_numpy()
+        empty = pa.table({c: pa.array([], kind) for c, kind in (("id", pa.int64()), ("qkey", pa.binary()), ("key", pa.binary()), ("upper", pa.float64()), ("lower", pa.float64()))})
         if not query.any() or query.all():
-            got = []
-        else:
-            q_ids, q = ids[query], v[query]
-            got = best_of_block(q_ids, q, ids[~query], v[~query], k)
-        cut = lambda f, kind: pa.array(np.concatenate([f(g) for g in got]) if got else np.zeros(0, np.int64), kind)
-        mark = [hash_of(q[i]) for i, *_ in got]
-        return pa.table({
-            "query_id": cut(lambda g: np.full(len(g[1]), q_ids[g[0]]), pa.int64()),
-            "mark": pa.array(np.repeat(mark, [len(g[1]) for g in got]).astype(np.int64) if got else [], pa.int64()),
-            "vec_id": cut(lambda g: g[1], pa.int64()), "score": cut(lambda g: g[2], pa.int64()),
-        })
-
-    near = asked.unionByName(answers).groupBy("dim", "rb", "qb").applyInArrow(run, "query_id long, mark long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def hash_of(v: np.ndarray) -> int:
-    import hashlib
-
-    return int.from_bytes(hashlib.blake2b(v.tobytes(), digest_size=8).digest(), "little", signed=True)
+            return empty
+        asks, file = t.filter(pa.array(query)).combine_chunks(), t.filter(pa.array(~query)).combine_chunks()
+        q_ids, q = asks.column("id").to_numpy(), matrix(asks.column("v"), np.int64)
+        only = file.column("id").is_valid().to_numpy()
+        known = file.column("id").fill_null(0).to_numpy()
+        d = q.shape[1]
+        cells = np.frombuffer(b"".join(file.column("cells").to_pylist()), np.uint8).reshape(-1, d)
+        own = np.where(only, known, np.iinfo(np.int64).min)  # no id of a query: those are not shared
+        i, j, upper, lower = kept_of_block(q_ids, q, own, cells, *edge.value[d], k)
+        return pa.table({"id": pa.array(q_ids[i]), "qkey": asks.column("key").take(pa.array(i)), "key": file.column("key").take(pa.array(j)), "upper": pa.array(upper), "lower": pa.array(lower)})
+
+    near = left.unionByName(right).groupBy("dim", "rb", "qb").applyInArrow(scan, "id long, qkey binary, key binary, upper double, lower double")
+    of_query = W.partitionBy("id", "qkey")
+    sure = F.max(F.when(F.col("place") == k, F.col("lower"))).over(of_query)  # k classes have at least this score
+    near = near.withColumn("place", F.row_number().over(of_query.orderBy(F.desc("upper"), "key"))).withColumn("sure", sure)
+    near = stage(near.where("sure is null or upper >= sure").drop("sure", "lower"), "candidates")
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        """Pairs with their integer score and the ids of the class."""
+        own = pairs.join(classes.select("key", "v", "ids"), "key").join(asked.select("id", F.col("key").alias("qkey"), F.col("v").alias("qv")), ["id", "qkey"])
+        product = F.aggregate(F.zip_with("v", "qv", lambda a, b: a * b), F.lit(0).cast("long"), lambda a, b: a + b)
+        return own.select("id", "qkey", product.alias("score"), "ids")
+
+    best = stage(exact(near.where(F.col("place") <= 2 * k)), "first")
+    kth = best.withColumn("place", F.row_number().over(of_query.orderBy(F.desc("score")))).where(F.col("place") == k).select("id", "qkey", F.col("score").alias("kth"))
+    later = near.where(F.col("place") > 2 * k).join(kth, ["id", "qkey"], "left").where("kth is null or upper >= kth")
+    found = best.unionByName(exact(later.select("id", "qkey", "key")))
+    answers = found.select("id", "qkey", "score", F.explode("ids").alias("vec_id")).where("vec_id <> id")
+    rank = F.row_number().over(of_query.orderBy(F.desc("score"), "vec_id"))
+    return answers.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("id").alias("query_id"), "rank", "vec_id", "score")
 
 
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows of every embedding whose id is divisible by 50; see `top_k` for nulls, repeats and empty tables."""
     return top_k(table(spark, sf_dir, "embeddings"), lambda c: c % 50 == 0, 5)
 
 

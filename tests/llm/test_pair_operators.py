@@ -152,7 +152,6 @@ def test_embedding_links(spark, monkeypatch):
 def test_exact_top_k(spark, monkeypatch):
     monkeypatch.setattr(exact_topk, "ROW_BLOCK", 64)
     monkeypatch.setattr(exact_topk, "QUERY_BLOCK", 4)
-    monkeypatch.setattr(exact_topk, "FIRST_READ", 1)
     df, x, _ = _vectors(spark)
     got = defaultdict(list)
     for r in exact_topk.top_k(df, lambda c: c % 50 == 0, 5).collect():
@@ -167,6 +166,34 @@ def test_exact_top_k(spark, monkeypatch):
     assert exact_topk.top_k(df.where("vec_id = 0"), lambda c: c % 50 == 0, 5).count() == 0
 
 
+def test_exact_top_k_of_copies_ties_and_repeats(spark):
+    """A large class of equal vectors, ids with several vectors, equal scores, other lengths and values beyond the range."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [0.5, 0.25, -0.125, 1.0]) for i in range(0, 400, 3)] + [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(1, 400, 3)]
+    rows += [(i, (rng.integers(-3, 4, 4) / 8).tolist()) for i in range(2, 400, 3)]
+    rows += [(50, [9.0, 9.0, 9.0, 9.0]), (50, [8.0, 8.0, 8.0, 8.0]), (50, [8.0, 8.0, 8.0, 8.0]), (700, [1.0, 2.0]), (701, [2.0, 1.0]), (750, [1e30, 0.0, 0.0, 0.0]), (800, [])]
+    got = defaultdict(list)
+    df = spark.createDataFrame([(i, v, 0, "z", "z") for i, v in rows], VECTORS)
+    for r in exact_topk.top_k(df, lambda c: c % 50 == 0, 5).collect():
+        got[r.query_id].append((r.rank, r.score, r.vec_id))
+    whole = sorted({(i, tuple(int(np.floor(x * 256)) for x in np.float32(v))) for i, v in rows if v and max(map(abs, v)) < 1e6})
+    want = defaultdict(list)
+    for q, a in whole:
+        if q % 50 == 0:
+            s = sorted(((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in whole if i != q and len(b) == len(a)))[:5]
+            want[q] += [(k + 1, -x, i) for k, (x, i) in enumerate(s)]
+    assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items()}
+
+
+def test_bounds_hold():
+    rng = np.random.default_rng(4)
+    x, q = rng.integers(-4000, 4000, (500, 48)), rng.integers(-4000, 4000, (40, 48))
+    low, high = x.min(0).astype(float), x.max(0).astype(float)
+    upper, gap = exact_topk.bounds(q, exact_topk.cells_of(x, low, high), low, high)
+    exact = q @ x.T
+    assert (upper >= exact).all() and (upper - gap[:, None] <= exact).all() and np.median(gap) < 0.2 * exact.std()
+
+
 def test_components_of_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(1, 40)]
     star = [(100, i) for i in range(101, 140)]
