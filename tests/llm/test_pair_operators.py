@@ -135,6 +135,7 @@ def _vectors(spark, seed=5):
 
 def test_embedding_links(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embed_dedup, "AT_ONCE", 5)
     df, x, odd = _vectors(spark)
     got = {r.vec_id: r for r in embed_dedup.near_duplicates(df).collect()}
     assert len(got) == len(x) + odd
@@ -229,12 +230,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert want == {(r.doc_id, r.piece, r.ids_crc32) for r in now.collect()}
 
 
-@pytest.mark.parametrize("hashes", [2, 3, 4])
-def test_recall_of_buckets_holds_with_more_hashes(hashes):
+def test_vectors_survive_the_way():
+    for v in ([0.5, -0.0, 3.0], [0.1, 1e300, 1.0], [1e-200, 2e-200, 0.0]):
+        raw = embed_dedup.pack(v)
+        assert len(raw) == (12 if v[0] == 0.5 else 24)
+        x = np.array(v) / np.abs(v).max()
+        assert np.abs(embed_dedup.unit([raw], 3)[0] - x / np.linalg.norm(x)).max() < 1e-15
+
+
+@pytest.mark.parametrize("dim", [64, 128, 384])
+@pytest.mark.parametrize("hashes", [1, 2, 3, 4])
+def test_recall_of_buckets_holds_with_more_hashes(hashes, dim):
     """Pairs at the least cosine that links share a bucket, however many hashes a bucket number has."""
     rng = np.random.default_rng(1)
     unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
-    a, r = unit(rng.normal(size=(1000, 64))), rng.normal(size=(1000, 64))
+    a, r = unit(rng.normal(size=(400, dim))), rng.normal(size=(400, dim))
     b = 0.9 * a + np.sqrt(1 - 0.81) * unit(r - (r * a).sum(1, keepdims=True) * a)
     x, y = embed_dedup.buckets(a, hashes), embed_dedup.buckets(b, hashes)
-    assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(x, y, strict=True)]) >= 0.98
+    tables = embed_dedup.tables_for(hashes, dim)
+    met = [any(len(np.intersect1d(p[k : k + 4], q[k : k + 4])) for k in range(0, 4 * tables, 4)) for p, q in zip(x, y, strict=True)]
+    assert np.mean(met) >= 0.98
+
+
+def test_hashes_follow_rows_and_width():
+    assert [embed_dedup.hashes_for(n, 64) for n in (10, 4_000, 5_000, 10**6, 10**8)] == [1, 1, 2, 3, 4]
+    assert embed_dedup.hashes_for(10**8, 384) == 3 and embed_dedup.tables_for(4, 384) > embed_dedup.tables_for(4, 64)
