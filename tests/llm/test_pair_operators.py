@@ -255,3 +255,31 @@ def test_recall_of_buckets_holds_with_more_hashes(hashes, dim):
 def test_hashes_follow_rows_and_width():
     assert [embed_dedup.hashes_for(n, 64) for n in (10, 4_000, 5_000, 10**6, 10**8)] == [1, 1, 2, 3, 4]
     assert embed_dedup.hashes_for(10**8, 384) == 3 and embed_dedup.tables_for(4, 384) > embed_dedup.tables_for(4, 64)
+
+
+def test_pipeline_on_awkward_and_empty_tables(spark, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    pytest.importorskip("public_tokenizers")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard", "substring_dedup", "secret_scan", "best_fit_packing"]
+    base = documents(spark, [*ROWS, (20, "y " * 400), (20, "y " * 400), (20, "another text of the same id")]).selectExpr("doc_id", "text", "lang", "source", "cast(length(text) as long) as n_chars", "score", "'u' as predicted", "'u' as row")
+    labels = spark.createDataFrame([(1, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
+    for name, docs in (("rows", base), ("none", base.where("false"))):
+        folder = write(docs, tmp_path / name)
+        write(labels, tmp_path / name, "labels")
+        now, seen = docs, []
+        for k, (_, step) in enumerate(corpus_pipeline.STAGES):
+            out = step(spark, now, folder)
+            assert k == 4 or out.columns == docs.columns
+            out.write.parquet(f"{tmp_path}/{name}/{k}.out")
+            now = spark.read.parquet(f"{tmp_path}/{name}/{k}.out")
+            seen.append(now.count())
+        if name == "none":
+            assert seen == [0] * 5
+            assert corpus_pipeline.run(spark, folder).count() == 0
+            continue
+        # 2, 3, 12 and a text of 11 are copies of 1, 8 of 7, 10 of 9; 20 has two texts and an equal row; rows without an id stay
+        after = {r.doc_id for r in spark.read.parquet(f"{tmp_path}/{name}/1.out").collect()}
+        assert seen[0] == len(ROWS) + 3 and after == {1, 4, 5, 6, 7, 9, 20, None} and seen[1] == 10
+        kept = spark.read.parquet(f"{tmp_path}/{name}/1.out").where("doc_id = 20")
+        assert kept.count() == 2 and kept.where("score = 'z' and predicted = 'u' and row = 'u'").count() == kept.count()
+        assert seen[1] == seen[2] == seen[3] <= seen[4] == corpus_pipeline.run(spark, folder).count()
