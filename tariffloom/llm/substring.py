@@ -219,7 +219,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(e) for c, e in zip(carry, extra, strict=True)))
     known = source.where("doc is not null")
     # both joins ask for the same exchange of the texts, with all columns, and so read one
-    shared = shared_anchors(find_anchors(known.select("doc", "text")))
+    shared = shared_anchors(find_anchors(known.select("doc", "text")).drop("more"))
     small = packed(known, "text").where("doc is not null")
     found = find_windows(small.join(shared, "doc").select("doc", "text", "own", *extra))
     gone = windows_to_remove(found)
