@@ -29,6 +29,8 @@ from tariffloom.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
 COUNT_BITS, FAN_IN = 20, 256
+#: A little more than 100 / PERCENT: sizes of linked sets have at most this ratio.
+STEP = 1.34
 #: Members of a verification group; groups that a class sits in; fingerprints that a task remembers.
 GROUP, SEATS, REMEMBERED = 256, 3, 200_000
 _SEEDS = [np.uint64(x) for x in (0x51ED270B9F0C4F2D, 0xD1B54A32D192ED03, 0xA0761D6478BD642F)]
@@ -286,7 +288,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     several = stage(several.join(sizes, "mark"), "across")
     drop_staged(shared)
     left, right = (several.select("token", *(F.col(c).alias(f"{c}{k}") for c in ("mark", "n", "place", "label"))) for k in (1, 2))
-    pair = left.join(right, "token").where("mark1 <> mark2 and label1 <> label2 and (n1 > n2 or (n1 = n2 and mark1 > mark2))").where(F.col("n2") * 100 >= F.col("n1") * PERCENT)
+    # sets of a pair differ in size by less than STEP, so a token's rows meet by classes of size: each with its own and the next smaller
+    size = lambda n: F.floor(F.log(F.col(n).cast("double")) / float(np.log(STEP))).cast("int")
+    left = left.withColumn("about", F.explode(F.array(size("n1"), size("n1") - 1)))
+    pair = left.join(right.withColumn("about", size("n2")), ["token", "about"]).where("mark1 <> mark2 and label1 <> label2 and (n1 > n2 or (n1 = n2 and mark1 > mark2))").where(F.col("n2") * 100 >= F.col("n1") * PERCENT)
     overlap = F.ceil((F.col("n1") + F.col("n2")) * PERCENT / (100 + PERCENT))
     # what lies before a common token in one and after it in the other bounds the overlap: no row of a pair that links fails
     pair = pair.where(F.least("place1", "place2") + F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) >= overlap)

@@ -79,6 +79,33 @@ def test_jaccard_awkward_tables(spark):
     assert jaccard.join(empty(spark)).count() == 0
 
 
+def test_sizes_of_linked_sets_are_neighbours():
+    """Whatever two sizes can link, the larger set's size class or the next smaller one is the smaller set's."""
+    n = np.arange(1, 5000)
+    about = np.floor(np.log(n.astype(float)) / np.log(jaccard.STEP)).astype(int)
+    least = -(-n * jaccard.PERCENT // 100)
+    assert ((about - about[least - 1]) <= 1).all() and (about >= about[least - 1]).all()
+
+
+def test_jaccard_with_a_token_in_very_many_classes(spark):
+    """A passage that all texts share, of very different lengths: no link is made up and none is lost."""
+    rng = random.Random(5)
+    passage = " ".join(f"common{i}" for i in range(12))
+    texts = [f"{passage} " + " ".join(f"own{rng.randrange(10**6)}" for _ in range(5 + k % 180)) for k in range(1500)]
+    texts += [t + " end" for t in texts[:40]]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.component_id for r in jaccard.join(documents(spark, rows)).collect()}
+    sets = [_sets(t) for t in texts]
+    by = defaultdict(set)
+    for i, s in enumerate(sets):
+        for g in s:
+            by[g].add(i)
+    own = [{j for g in s if len(by[g]) < 100 for j in by[g]} for s in sets]
+    short = [i for i, s in enumerate(sets) if len(s) < 30]
+    links = [(i, j) for i, s in enumerate(sets) for j in (own[i] | (set(short) if i in short else set())) if j < i and 100 * len(s & sets[j]) >= 75 * len(s | sets[j])]
+    assert got == _components(range(len(texts)), links)
+
+
 def test_jaccard_one_id_with_several_texts(spark):
     a, b = _near_copies(2, 3, 11), _near_copies(2, 3, 12)
     got = jaccard.join(documents(spark, [(1, a[0]), (5, a[1]), (5, b[0]), (9, b[1]), (7, " ".join(WORDS[:9]))])).collect()
