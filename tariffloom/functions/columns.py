@@ -7,8 +7,11 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: An address in a text: http, https or www, up to white space or a quoting character.
-URL = r"(?i)(?:https?://|www\.)[^\s\"'<>\\{}|^`\[\]]+"
+# What an address is made of, by the generic grammar of URIs: unreserved characters, delimiters but for brackets and the
+# apostrophe, which more often close a quotation than belong to an address, and percent signs.
+_UNRESERVED, _DELIMITERS = r"A-Za-z0-9\-._~", r":/?#@!$&()*+,;="
+#: An address in a text: it starts with http, https or www.
+URL = rf"(?i)(?:https?://|www\.)[{_UNRESERVED}{_DELIMITERS}%]+"
 
 
 def blank_to_null(c: Column) -> Column:
@@ -138,6 +141,11 @@ def list_items(c: Column) -> Column:
     return F.when(F.size(items) > 0, items)
 
 
+def json_field(c: Column, name: str, kind: str = "string") -> Column:
+    """One field of a JSON text; null where the text is none or lacks it."""
+    return F.from_json(c, f"`{name}` {kind}")[name]
+
+
 def identifier(name: str, taken: set[str] | None = None) -> str:
     """A column name from a header: lower case, words joined by _, not starting with a digit; _2, _3 if it is taken."""
     base = re.sub(r"[^0-9a-z]+", "_", (name or "").strip().lower()).strip("_") or "col"

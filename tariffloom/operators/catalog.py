@@ -105,13 +105,12 @@ def group_table(documents: DataFrame, code_type: str | None = None, codes: list[
         out = out.where(F.col("billing_code_type") == code_type)
     if codes:
         out = filters.where_column(out, "billing_code", lambda c: filters.matches(c, codes))
-    out = out.withColumn("_row", F.xxhash64(*(F.col(f"`{c}`") for c in out.columns)))  # equal rows may share it
     if npis is not None and "npi" in out.columns:
         kind = out.schema["npi"].dataType.typeName()
-        out = filters.array_in_set(out, "npi", npis, "_row") if kind == "array" else filters.in_set(out, "npi", npis)
-    out = joins.group_prices(out, keys).drop("_row") if keys else out.drop("_row")
+        out = filters.array_in_set(out, "npi", npis) if kind == "array" else filters.in_set(out, "npi", npis)
+    out = joins.group_prices(out, keys) if keys else out
     if contents is not None and (column := filters.url_column(out)):
-        out = joins.url_contents(out.withColumn("_row", F.xxhash64(*out.columns)), F.col(column), contents, "_row").drop("_row")
+        out = joins.url_contents(out, F.col(column), contents)
     return filters.keep_columns(out, keep) if keep else out
 
 

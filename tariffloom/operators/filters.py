@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from tariffloom.functions import columns as C
 
-_RANGE = re.compile(r"^(.+?)[–—\-](.+)$")
+#: What may stand between the bounds of a range: a hyphen or either dash.
+DASHES = "-\u2013\u2014"
+
+
+def bounds(value: str) -> tuple[str, str] | None:
+    """The two sides of the first dash that has something before and after it; None if the value is no range."""
+    at = next((k for k in range(1, len(value) - 1) if value[k] in DASHES), None)
+    return None if at is None else (value[:at], value[at + 1 :])
 
 
 def _number(text: str) -> float | None:
@@ -35,7 +42,7 @@ def matches(c: Column, values: Iterable[str], strict_kind: bool = False) -> Colu
     strict_kind takes ranges as ranges only where all values are ranges; in a mixed list they are plain values then.
     """
     values = [str(v) for v in values]
-    ranges = [m.groups() if (m := _RANGE.match(v)) else None for v in values]
+    ranges = [bounds(v) for v in values]
     if strict_kind and not all(ranges):
         ranges = [None] * len(values)
     exact = [v for v, r in zip(values, ranges, strict=True) if r is None]
@@ -82,11 +89,16 @@ def npi_filter(df: DataFrame, npis: DataFrame | None, column: str = "npi", empty
     return kept.unionByName(df.where(F.col(column).isNull())) if keep_null else kept
 
 
-def array_in_set(df: DataFrame, column: str, ids: DataFrame, key: str) -> DataFrame:
-    """Keeps the items of an array column that are in ids, and the rows that keep any. Rows with the same key must have the same items."""
-    item = df.select(key, F.posexplode(column).alias("_pos", "_item")).distinct()
-    kept = in_set(item, "_item", ids).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_item"))), lambda s: s["_item"]).alias("_kept"))
-    return df.join(kept, key).withColumn(column, F.col("_kept")).drop("_kept")
+def array_in_set(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Keeps the items of an array column that are in ids, and the rows that keep any; equal rows stay apart.
+
+    A row is numbered once and travels with its items, so it is put together again by one shuffle and no join.
+    """
+    rest = F.struct(*(F.col(f"`{c}`") for c in df.columns if c != column), F.lit(True).alias("_there"))
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), rest.alias("_rest"), F.col(f"`{column}`").alias("_items"))
+    item = numbered.select("_row", "_rest", F.posexplode("_items").alias("_pos", "_item"))
+    kept = in_set(item, "_item", ids).groupBy("_row").agg(F.first("_rest").alias("_rest"), F.array_sort(F.collect_list(F.struct("_pos", "_item"))).alias("_kept"))
+    return kept.select(*((F.transform("_kept", lambda s: s["_item"]).alias(c) if c == column else F.col(f"_rest.`{c}`").alias(c)) for c in df.columns))
 
 
 def not_blank(df: DataFrame, keep: tuple[str, ...] = ("source_file",)) -> DataFrame:

@@ -91,11 +91,16 @@ def npis_near(zip_npi: DataFrame, distances: DataFrame, zipcode: str, miles: flo
     return zip_npi.join(near.select(F.col("zip2").alias("zipcode")), "zipcode", "left_semi").select(F.col("NPI").alias("npi")).distinct()
 
 
-def url_contents(df: DataFrame, url: Column, content: DataFrame, key: str) -> DataFrame:
-    """Adds url_content, a map from each address in a column to the content kept under its file name."""
-    found = df.select(key, F.explode(C.urls(url)).alias("url")).withColumn("name", C.file_of_url(F.col("url"))).join(content, "name")
-    maps = found.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("url", "value")))).alias("url_content"))
-    return df.join(maps, key, "left")
+def url_contents(df: DataFrame, url: Column, content: DataFrame) -> DataFrame:
+    """Adds url_content, a map from each address in a column to the content kept under its file name; null if there is none."""
+    numbered = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_rest"), C.urls(url).alias("_urls"))
+    row = numbered.select("_row", "_rest", F.explode_outer("_urls").alias("_url"))
+    own = content.select(F.col("name").alias("_name"), F.col("value").alias("_value"))
+    found = row.withColumn("_name", C.file_of_url(F.col("_url"))).join(own, "_name", "left")
+    pair = F.when(F.col("_value").isNotNull(), F.struct(F.col("_url").alias("url"), F.col("_value").alias("value")))
+    each = found.groupBy("_row").agg(F.first("_rest").alias("_rest"), F.collect_set(pair).alias("_pairs"))
+    content_map = F.when(F.size("_pairs") > 0, F.map_from_entries(F.array_sort("_pairs")))
+    return each.select("_rest.*", content_map.alias("url_content"))
 
 
 def group_prices(df: DataFrame, keys: list[str], npi: str = "npi", codes: str = "service_code") -> DataFrame:

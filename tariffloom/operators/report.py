@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,6 +81,37 @@ def against_average(totals: DataFrame, band: float = 0.08) -> DataFrame:
     return known.withColumn("delta", delta).withColumn("standing", F.when(delta < -band, "below").when(delta > band, "above").otherwise("near"))
 
 
+def metrics(pairs: DataFrame, services: DataFrame, settings_of: DataFrame) -> DataFrame:
+    """For each provider the lowest and highest totals of the selected services, the share of them it offers in percent, and
+    the median of the middles of its settings. services: the selected ones; settings_of: see `settings`."""
+    total = provider_totals(pairs, services)
+    known = total.sparkSession.sql("SELECT *, (SELECT count(*) FROM {s}) AS n_services FROM {t}", t=total, s=services)
+    middles = settings_of.join(services.select("service_key"), "service_key", "left_semi").groupBy("provider").agg(F.median((F.col("low") + F.col("high")) / 2).alias("median_mid"))
+    return known.select("provider", "low_sum", "high_sum", (F.lit(100.0) * F.col("present") / F.col("n_services")).alias("coverage_pct")).join(middles, "provider", "left")
+
+
+def price_stats(prices: DataFrame, keys: list[str], rate: str = "negotiated_rate") -> DataFrame:
+    """How many different prices there are for the keys, and their average."""
+    return prices.groupBy(*keys).agg(F.countDistinct(rate).alias("count_rates"), F.avg(rate).alias("avg_rates"))
+
+
+def page(services: DataFrame, providers: DataFrame, title: str = "Prices") -> str:
+    """The report (see `report`) as one HTML page without scripts. Both tables are top-k tables, so they are small."""
+    text = lambda v: html.escape(str(v), quote=True)
+    chosen = services.orderBy(F.desc("coverage"), "code", "name").collect()
+    out = [f"<!doctype html><html><head><meta charset='utf-8'><title>{text(title)}</title></head><body><h1>{text(title)}</h1>"]
+    out.append("<h2>Services</h2><table><tr><th>Code</th><th>Service</th><th>Providers</th></tr>")
+    out += [f"<tr id='{text(r['id'])}'><td>{text(r['code'])}</td><td>{text(r['name'])}</td><td>{r['coverage']}</td></tr>" for r in chosen]
+    out.append("</table>")
+    for p in providers.orderBy("rank").collect():
+        out.append(f"<section id='{text(p['id'])}'><h2>{text(p['name'])}</h2><p>{text(p['address'])}</p><p>{p['present']} services, {p['low_sum']:,.0f} to {p['high_sum']:,.0f}</p><ul>")
+        for s in p["services"]:
+            rows = "".join(f"<li>{text(x['setting'])}: {text(x['arrangement'])}, {text(x['billing_class'])}, {text(x['negotiated_type'])}: {x['low']:,} to {x['high']:,} ({x['npi']})</li>" for x in s["settings"])
+            out.append(f"<li><a href='#{text(s['service_id'])}'>{text(s['service_id'])}</a> {s['low']:,} to {s['high']:,} {text(s['note'])}<ul>{rows}</ul></li>")
+        out.append("</ul></section>")
+    return "".join([*out, "</body></html>"])
+
+
 def report(fact: DataFrame, services: int = 10, providers: int = 20) -> tuple[DataFrame, DataFrame]:
     """(services, providers) of a report: the providers with their services and settings nested, as a page needs them."""
     rows = base(fact)

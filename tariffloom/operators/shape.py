@@ -18,14 +18,14 @@ ANALYSIS = "file_name string, source_name string, file_size long, level int, pat
 _URL = re.compile(C.URL)
 
 
-def key_names(value, depth: int = 0) -> set[str]:
-    """The distinct key names anywhere in a value."""
-    if depth > MAX_DEPTH:
-        return set()
+def key_names(value, depth: int = 0, most: int | None = None) -> set[str]:
+    """The distinct key names anywhere in a value; a value nested deeper than `most` (MAX_DEPTH) is an error, never cut."""
+    if depth > (most or MAX_DEPTH):
+        raise ValueError(f"a document is nested more than {most or MAX_DEPTH} levels deep")
     if isinstance(value, dict):
-        return set(value).union(*(key_names(v, depth + 1) for v in value.values()))
+        return set(value).union(*(key_names(v, depth + 1, most) for v in value.values()))
     if isinstance(value, list):
-        return set().union(*(key_names(v, depth + 1) for v in value))
+        return set().union(*(key_names(v, depth + 1, most) for v in value))
     return set()
 
 
@@ -64,7 +64,7 @@ def walk(document, limit: int = MAX_ITEMS, older: bool = False) -> Iterator[tupl
                 inner, inner_at = inner[k], f"{inner_at}[{k}]"
                 kept = [inner] if kept is value else kept
             yield level, at, key, None if kept is None else json.dumps(kept), _kind(value), bool(_URL.search(value if isinstance(value, str) else json.dumps(value)))
-            if isinstance(inner, dict) and level < MAX_DEPTH:
+            if isinstance(inner, dict):
                 below.append((inner, level + 1, inner_at))
         todo += reversed(below)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tariffloom.operators import flatten, joins
+from tariffloom.operators import flatten, joins, report
 
 
 def reporting_plans(catalog: DataFrame) -> DataFrame:
@@ -31,5 +31,5 @@ def plan_price_nearby(plans: DataFrame, prices: DataFrame, providers: DataFrame,
     """
     own = prices.where(F.col("billing_code") == code).join(plans.where(F.col("plan_name") == plan), "file_name")
     each = own.withColumn("npi", F.explode("npis"))
-    stats = each.groupBy("plan_name", "file_name", "npi", "billing_code", "negotiated_type").agg(F.countDistinct("negotiated_rate").alias("count_rates"), F.avg("negotiated_rate").alias("avg_rates"))
+    stats = report.price_stats(each, ["plan_name", "file_name", "npi", "billing_code", "negotiated_type"])
     return stats.join(providers.join(near, "zipcode"), "npi")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -22,3 +24,15 @@ def session(app: str = "tariffloom", master: str | None = None, **settings: str)
     for k, v in (SETTINGS | {k.replace("__", "."): v for k, v in settings.items()}).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which the driver and all executors share; only a local session gets one of its own."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="tariffloom-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")

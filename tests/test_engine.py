@@ -217,7 +217,7 @@ def test_urls(spark):
     assert df.select(C.urls(F.col("note"))).collect()[0][0] == ["https://x.org/a?b=1", "https://www.y.org,", "HTTP://Z.org"]
     assert filters.url_column(df) == "note"
     name = df.select(C.file_of_url(F.lit("https://x.org/a?b=1"))).first()[0]
-    got = joins.url_contents(df, F.col("note"), spark.createDataFrame([(name, "body")], "name string, value string"), "id")
+    got = joins.url_contents(df, F.col("note"), spark.createDataFrame([(name, "body")], "name string, value string"))
     assert {r.id: r.url_content for r in got.collect()} == {1: {"https://x.org/a?b=1": "body"}, 2: None}
 
 
