@@ -137,7 +137,7 @@ def run_id(now: Column | None = None) -> Column:
 
 def list_items(c: Column) -> Column:
     """A comma-separated list as trimmed items that are not empty; null if there are none."""
-    items = F.filter(F.transform(F.split(c, ","), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.size(items) > 0, items)
 
 

@@ -149,5 +149,11 @@ def url_column(df: DataFrame, rows: int = 100) -> str | None:
 
 
 def complete_items(df: DataFrame, column: str = "value") -> DataFrame:
-    """Rows whose text is one whole JSON value."""
-    return df.where(F.try_parse_json(F.col(column)).isNotNull())
+    """Rows whose text is one whole JSON value.
+
+    The parser stops after a value, so the text must also stand as an item of an array and as a field of an object: what
+    could follow it in one cannot in the other.
+    """
+    c = F.col(f"`{column}`")
+    item, field = F.concat(F.lit("["), c, F.lit("]")), F.concat(F.lit('{"v":'), c, F.lit("}"))
+    return df.where(F.try_parse_json(item).isNotNull() & F.try_parse_json(field).isNotNull())

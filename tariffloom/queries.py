@@ -148,7 +148,7 @@ def drop_blank_rows(spark, sf):
 
 @_query("SELECT event_id, props->>'k' AS k FROM events")
 def json_props_extract(spark, sf):
-    return _t(spark, sf, "events").select("event_id", F.from_json("props", "k string")["k"].alias("k"))
+    return _t(spark, sf, "events").select("event_id", C.json_field(F.col("props"), "k").alias("k"))
 
 
 @_query("""
@@ -352,13 +352,13 @@ def dim_fact_normalize(spark, sf):
     return fact.join(dim, "type_id", "left").select("p_partkey", "type_id", "p_type")
 
 
-@_query(r"""SELECT page_id, u AS url, 'url_' || left(md5(u), 16) || '.json' AS file, list_extract(string_split(split_part(u, '?', 1), '/'), -1) AS tail FROM (SELECT page_id, regexp_extract(url, 'https?://[^\s<>"{}|\\^`\[\]'']+|www\.[^\s<>"{}|\\^`\[\]'']+', 0, 'i') AS u FROM pages)""")
+@_query(r"""SELECT page_id, u AS url, 'url_' || left(md5(u), 16) || '.json' AS file, list_extract(string_split(split_part(u, '?', 1), '/'), -1) AS tail FROM (SELECT page_id, regexp_extract(url, '(?:https?://|www\.)[A-Za-z0-9\-._~:/?#@!$&()*+,;=%]+', 0, 'i') AS u FROM pages)""")
 def url_extract(spark, sf):
     u = C.first_url(F.col("url"))
     return _t(spark, sf, "pages").select("page_id", u.alias("url"), C.file_of_url(u).alias("file"), C.url_tail(u).alias("tail"))
 
 
-@_query(r"""SELECT page_id, regexp_matches(html, '(?i)(https?://|www\.)[^\s<>"{}|\\^`\[\]'']') AS has_url, CAST(len(list_distinct(regexp_extract_all(html, '(?i)(?:https?://|www\.)[^\s<>"{}|\\^`\[\]'']+'))) AS INTEGER) AS n_urls FROM pages""")
+@_query(r"""SELECT page_id, regexp_matches(html, '(?i)(https?://|www\.)[A-Za-z0-9\-._~:/?#@!$&()*+,;=%]') AS has_url, CAST(len(list_distinct(regexp_extract_all(html, '(?i)(?:https?://|www\.)[A-Za-z0-9\-._~:/?#@!$&()*+,;=%]+'))) AS INTEGER) AS n_urls FROM pages""")
 def url_detect(spark, sf):
     return _t(spark, sf, "pages").select("page_id", C.has_url(F.col("html")).alias("has_url"), F.size(C.urls(F.col("html"))).alias("n_urls"))
 
@@ -370,11 +370,16 @@ def split_by_items(spark, sf):
     return parts.select("source_file", "part", F.size("items").alias("items"), F.array_min("items").alias("first_item"))
 
 
-@_query()
+@_query("""
+    WITH RECURSIVE s AS (SELECT CAST(o_custkey AS VARCHAR) AS file, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k,
+        length('{"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '"}') AS n FROM orders),
+    r AS (SELECT file, k, CAST(1 AS BIGINT) AS part, n AS filled, n FROM s WHERE k = 1
+      UNION ALL SELECT s.file, s.k, r.part + CAST(r.filled + s.n > 160 AS BIGINT), CASE WHEN r.filled + s.n > 160 THEN s.n ELSE r.filled + s.n END, s.n FROM r JOIN s ON s.file = r.file AND s.k = r.k + 1)
+    SELECT file, part, count(*) AS items, CAST(sum(n) AS BIGINT) AS bytes FROM r GROUP BY file, part""")
 def split_by_bytes(spark, sf):
-    """Greedy parts by bytes; where a part starts depends on the one before, so there is no plain SQL twin."""
-    rows = _t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("file"), F.col("o_orderkey").alias("pos"), F.to_json(F.struct("o_orderkey", "o_orderpriority", "o_totalprice")).alias("value"))
-    return split.by_bytes(rows, 256).groupBy("file", "part").agg(F.count("*").alias("items"), F.sum(F.octet_length("value")).alias("bytes"))
+    """Greedy parts by bytes: where a part starts depends on the one before."""
+    rows = _t(spark, sf, "orders").select(F.col("o_custkey").cast("string").alias("file"), F.col("o_orderkey").alias("pos"), F.to_json(F.struct("o_orderkey", "o_orderpriority")).alias("value"))
+    return split.by_bytes(rows, 160).groupBy("file", "part").agg(F.count("*").alias("items"), F.sum(F.octet_length("value")).alias("bytes"))
 
 
 @_query("""SELECT coalesce(a.path, b.path) AS path, a.type AS left_type, b.type AS right_type, CASE WHEN b.type IS NULL THEN 'only_left' WHEN a.type IS NULL THEN 'only_right' ELSE 'mismatch' END AS kind
@@ -395,9 +400,10 @@ def dedupe_rows(spark, sf):
     return joins.same_rows_once(_t(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_suppkey"))
 
 
-@_query("SELECT l_suppkey, l_returnflag, count(DISTINCT l_discount) AS count_rates, round(avg(l_extendedprice), 4) AS avg_rates FROM lineitem GROUP BY ALL")
+@_query("SELECT l_suppkey, l_returnflag, count(DISTINCT round(l_extendedprice, 0)) AS count_rates, round(avg(round(l_extendedprice, 0)), 4) AS avg_rates FROM lineitem GROUP BY ALL")
 def distinct_rate_stats(spark, sf):
-    return _t(spark, sf, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.countDistinct("l_discount").alias("count_rates"), F.round(F.avg("l_extendedprice"), 4).alias("avg_rates"))
+    own = report.price_stats(_t(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", F.round("l_extendedprice", 0).alias("negotiated_rate")), ["l_suppkey", "l_returnflag"])
+    return own.select("l_suppkey", "l_returnflag", "count_rates", F.round("avg_rates", 4).alias("avg_rates"))
 
 
 @_query("SELECT f AS file_name FROM (SELECT *, bool_or(part) OVER (PARTITION BY base) AS split FROM (SELECT f, regexp_replace(f, '_part\\d{4,5}(\\.json(\\.gz)?)$', '\\1') AS base, regexp_matches(f, '_part\\d{4,5}\\.json(\\.gz)?$') AS part FROM (SELECT 'c' || (c_custkey % 500) || CASE WHEN c_custkey % 3 = 0 THEN '_part' || lpad(CAST(c_custkey % 7 AS VARCHAR), 4 + CAST(c_custkey % 2 AS INTEGER), '0') ELSE '' END || '.json.gz' AS f FROM customer))) WHERE part OR NOT split")
@@ -451,7 +457,7 @@ def plan_price_nearby(spark, sf):
 @_query("SELECT CAST(sum(n) AS BIGINT) AS items, CAST(count(*) AS BIGINT) AS files FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)")
 def array_length_sum(spark, sf):
     own = _t(spark, sf, "orders").groupBy("o_custkey").agg(F.collect_list("o_orderkey").alias("in_network"))
-    return own.agg(F.sum(F.size("in_network")).alias("items"), F.count("*").alias("files"))
+    return split.array_lengths(own, "in_network")
 
 
 @_query("SELECT c_mktsegment AS record_type, CASE WHEN max(c_custkey % 5) > 0 THEN 'array' ELSE 'scalar' END AS kind FROM customer GROUP BY 1")
@@ -467,17 +473,17 @@ def ndjson_round_trip(spark, sf):
     return back.select("i.o_orderkey", "i.o_orderstatus", F.col("i.o_totalprice").alias("price"))
 
 
-@_query()
+@_query("SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY event_type")
 def stream_landing_incremental(spark, sf):
-    """A file stream lands the events once; a second run adds nothing. Streaming, so rows only."""
+    """A file stream lands the events once; a second run from the same checkpoint, and one from a new one, add nothing."""
     import uuid
 
+    from tariffloom.session import shared_dir
     from tariffloom.streaming import landing
 
-    base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tariffloom-shared").rstrip("/")
-    at = f"{base}/landing-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/tariffloom-landing-{uuid.uuid4().hex}"
     static = _t(spark, sf, "events")
-    for run in (1, 2):
+    for state in ("one", "one", "two"):
         stream = landing.new_files(spark, sf, static.schema, glob="events.parquet")
-        landing.land(stream, f"{at}/table", f"{at}/state{run}", ["event_id"]).awaitTermination()
+        landing.land(stream, f"{at}/table", f"{at}/{state}", ["event_id"]).awaitTermination()
     return spark.read.parquet(f"{at}/table").groupBy("event_type").agg(F.count("*").alias("n"))

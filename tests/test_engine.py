@@ -278,6 +278,7 @@ SF = "/root/testdata/sf0.001"
 def test_queries_match_their_twins(spark):
     import duckdb
 
+    from tariffloom import operator_queries  # noqa: F401
     from tariffloom.queries import ORACLE, QUERIES
 
     con = duckdb.connect()
@@ -296,3 +297,11 @@ def test_queries_match_their_twins(spark):
             want = sorted((tuple(plain(r[have.index(c)]) for c in names) for r in cur.fetchall()), key=str)
             assert got == want, name
         assert time.time() - start < 120
+
+
+def test_lists_and_whole_values(spark):
+    df = spark.createDataFrame([(" a1 , 2,, b 3 ",), (" , ",), (None,)], "t string")
+    assert [r[0] for r in df.select(C.list_items(F.col("t"))).collect()] == [["a1", "2", "b 3"], None, None]
+    texts = ['{"a":1}', '{"a":1}]', '{"a":1}}', '{"a":1},', "", " ", '{"a":', "1", '1,"b":2', "null", None]
+    got = filters.complete_items(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert sorted(r.value for r in got.collect()) == sorted(['{"a":1}', "1", "null"])
