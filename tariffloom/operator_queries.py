@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 
 from tariffloom.functions import columns as C
 from tariffloom.operators import catalog, filters, flatten, joins, providers, report, schema, shape, split
-from tariffloom.plans import convert, views
+from tariffloom.plans import convert, resolve, views
+from tariffloom.plans.jobs import ConvertRequest
 from tariffloom.queries import _FACTS, _PROX, _SHAPES, _customers, _documents, _facts, _proximity, _query, _shapes, _t
 from tariffloom.session import shared_dir
-from tariffloom.sources import readers, writers
+from tariffloom.sources import files, readers, writers
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -631,3 +632,57 @@ def convert_group_table(spark, sf):
     docs = line.select(F.array(F.struct(F.col("o_orderstatus").alias("billing_code"), "l_linenumber", F.array("l_suppkey").alias("npi"))).alias("in_network"))
     rows = catalog.group_table(docs, codes=["F", "O"], npis=_t(spark, sf, "supplier").where("s_nationkey < 10").select("s_suppkey"))
     return rows.groupBy(F.col("billing_code").alias("code")).agg(F.count("*").alias("prices"))
+
+
+@_query(f"""WITH {_PROX}, n AS (SELECT DISTINCT s_suppkey FROM supplier JOIN p ON zip2 = CAST(s_nationkey + 1000 AS VARCHAR) WHERE zip1 = '01001' AND miles <= 9)
+    SELECT 'f' || l_orderkey || '.json' AS source_file, o_orderstatus AS billing_code, round(l_extendedprice, 2) AS rate, CAST(l_suppkey AS VARCHAR) AS npi
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_orderkey < 3000 AND o_orderpriority = '5-LOW' AND o_orderstatus = 'F' AND l_suppkey IN (SELECT s_suppkey FROM n)""".replace("CAST(a.n_nationkey + 1000 AS VARCHAR) AS zip1", "'0' || CAST(a.n_nationkey + 1000 AS VARCHAR) AS zip1"))
+def convert_request(spark, sf):
+    """A request by plan, code and postal code: its files, its providers near, and the conversion of both."""
+    plan = F.array(F.struct(F.col("o_orderpriority").alias("plan_name")))
+    index = _t(spark, sf, "orders").select(F.concat(F.lit("f"), "o_orderkey", F.lit(".json")).alias("file_name"), plan.alias("reporting_plans"))
+    near = _proximity(spark, sf).select(F.concat(F.lit("0"), "zip1").alias("zip1"), "zip2", F.col("miles").alias("distance_miles"))
+    places = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("NPI"), (F.col("s_nationkey") + 1000).cast("string").alias("zipcode"))
+    found = resolve.resolve(ConvertRequest(plan_name="5-LOW", cpt_code="F, X", zipcode="1001", zipcode_distance_miles=9), index, places, near)
+    return _prices(convert.fact(resolve.documents_of(_rate_documents(spark, sf), found.files), found.request))
+
+
+@_query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey < 10")
+def jdbc_round_trip(spark, sf):
+    """A table of a database, written and read by a query in fetches; the database is the one that comes with Spark."""
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    writers.jdbc(_t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey").coalesce(1), url, "suppliers", "overwrite", **driver)
+    own = readers.jdbc(spark, url, 'SELECT "s_suppkey", "s_name" FROM suppliers WHERE "s_nationkey" < 10', 50, **driver)
+    return own.select("s_suppkey", "s_name")
+
+
+@_query("SELECT 'group_' || (o_custkey % 3) AS group_dir, CASE WHEN o_custkey % 2 = 0 THEN 'd' || o_custkey || '.json' ELSE 'd' || o_custkey || '_part00001.json' END AS file_name FROM orders WHERE o_custkey < 40 GROUP BY ALL")
+def files_below_groups(spark, sf):
+    """Files of group folders, split parts instead of their originals."""
+    at = _folder(spark, "groups")
+    keys = [r.k for r in _t(spark, sf, "orders").where("o_custkey < 40").select(F.col("o_custkey").alias("k")).distinct().collect()]
+    for k in keys:
+        files.write_text(f"{at}/group_{k % 3}/d{k}.json", "{}")
+        if k % 2:
+            files.write_text(f"{at}/group_{k % 3}/d{k}_part00001.json", "{}")
+    files.write_text(f"{at}/group_0/main_schema.json", "{}")
+    files.write_text(f"{at}/other/d1.json", "{}")
+    return readers.files_below(spark, at, "d").select("group_dir", "file_name")
+
+
+@_query("SELECT * FROM (VALUES ('a', 'struct'), ('b', 'array')) v(name, kind)")
+def schema_saved(spark, sf):
+    """A schema written as JSON and read again."""
+    at = f"{_folder(spark, 'schema')}/schema.json"
+    kind = T._parse_datatype_string("a struct<x:int>, b array<string>")
+    schema.save(kind, at)
+    back = schema.load(at)
+    assert back == kind
+    return _literal(spark, [(f.name, f.dataType.typeName()) for f in back.fields], "name string, kind string")
+
+
+@_query("SELECT DISTINCT o_custkey % 5 AS k, o_orderstatus AS status FROM orders ORDER BY k, status")
+def ordered_rows(spark, sf):
+    """Distinct rows in order, as the catalog and the signature lists are given."""
+    return _t(spark, sf, "orders").select((F.col("o_custkey") % 5).alias("k"), F.col("o_orderstatus").alias("status")).distinct().orderBy("k", "status")

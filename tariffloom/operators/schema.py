@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tariffloom.functions import columns as C
+from tariffloom.sources import files
 
 _WIDTH = {T.IntegerType: 0, T.LongType: 1, T.DoubleType: 2}
 
@@ -54,11 +55,12 @@ def type_of(value, sampled: bool = False) -> T.DataType:
 
 
 def save(schema: T.StructType, path: str | Path) -> None:
-    Path(path).write_text(json.dumps(json.loads(schema.json()), indent=2))
+    """Writes a schema as JSON, on whatever file system the path names."""
+    files.write_text(path, json.dumps(json.loads(schema.json()), indent=2))
 
 
 def load(path: str | Path) -> T.StructType:
-    return T.StructType.fromJson(json.loads(Path(path).read_text()))
+    return T.StructType.fromJson(json.loads(files.read_text(path)))
 
 
 def paths(t: T.DataType, prefix: str = "") -> dict[str, str]:

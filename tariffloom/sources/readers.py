@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,12 +95,15 @@ def jdbc(spark: SparkSession, url: str, query: str, fetch: int = 10_000, **optio
 
 
 def files_below(spark: SparkSession, folder: str, core: str = "") -> DataFrame:
-    """(file_name, group_dir, path) of files in group_* folders whose name holds core, split parts before originals."""
+    """(file_name, group_dir, path) of files in group_* folders whose name holds core, split parts before originals.
+
+    Spark lists the files, on whatever file system they are; their contents are not read.
+    """
     from tariffloom.operators.joins import prefer_parts
 
-    rows = [(p.name, p.parent.name, str(p)) for p in sorted(Path(folder).glob("group_*/**/*.json*")) if core in p.name and not p.name.endswith("schema.json")]
-    files = spark.createDataFrame(rows, "file_name string, group_dir string, path string")
-    return prefer_parts(files)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*").load(f"{folder}/group_*")
+    rows = found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.element_at(F.split("path", "/"), -2).alias("group_dir"), "path")
+    return prefer_parts(rows.where(F.contains("file_name", F.lit(core)) & ~F.col("file_name").endswith("schema.json")))
 
 
 def top_level_arrays(df: DataFrame) -> list[str]:
