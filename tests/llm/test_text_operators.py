@@ -424,8 +424,8 @@ def _slow(t, mixer, rows, k):
         if not c1:
             return out + np.log(t.weight[sym] / weight(d))
         share = weight(d + 1) / weight(d)
-        one = (d1 + 4 * share) / (c1 + 4)
-        two = (d2 + 2 * one) / (c2 + 2)
+        one = (d1 + float(lm_score.PRIOR_NEAR) * share) / (c1 + float(lm_score.PRIOR_NEAR))
+        two = (d2 + float(lm_score.PRIOR_FAR) * one) / (c2 + float(lm_score.PRIOR_FAR))
         x = [np.log(q / (1 - q)) for q in (share, one, two)]
         level = lambda c, most: min(int(c).bit_length(), most)
         sure1, sure2 = d1 in (0, c1), d2 in (0, c2)
