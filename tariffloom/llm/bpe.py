@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm.common import groups, strings, table
+from tariffloom.llm.common import bounded, groups, strings, table
 from tariffloom.llm.packing import byte_alphabet
 
 #: Words that a task remembers, and their bytes; when full, it starts again.
@@ -180,7 +180,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
                 cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=False)]
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *cols], ["doc_id", *names[: len(cols)]])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>, decoded string" if with_ids else ""))
+    return bounded(docs).select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<long>, decoded string" if with_ids else ""))
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -194,7 +194,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_
             back = [bpe.decode([i for i in ids or [] if i is not None]) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(back, pa.string())], ["doc_id", "decoded"])
 
-    return encoded.select(F.col(id_col).cast("long"), F.col(ids_col).cast("array<long>")).mapInArrow(run, "doc_id long, decoded string")
+    return bounded(encoded).select(F.col(id_col).cast("long"), F.col(ids_col).cast("array<long>")).mapInArrow(run, "doc_id long, decoded string")
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

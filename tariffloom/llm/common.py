@@ -143,9 +143,15 @@ def drop_staged(df: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder. Arrow batches are bounded by bytes as well as rows, for tables with very long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder."""
+    return bounded(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """df, after its session has been told to bound Arrow batches by BATCH_BYTES as well as by rows, for tables with very long
+    texts. It is the one setting that the operators change, and all of them that read texts in Python call this first."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
 
 
 def fresh(name: str, *tables: DataFrame) -> str:

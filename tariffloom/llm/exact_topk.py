@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import scoped, stage, table
+from tariffloom.llm.common import bounded, scoped, stage, table
 
 #: Classes and queries of a block, the least classes of a block in small tables, cells of a component, queries bounded at once.
 ROW_BLOCK, QUERY_BLOCK, LEAST_BLOCK, CELLS, AT_ONCE = 1 << 17, 1 << 14, 2048, 256, 64
@@ -81,7 +81,7 @@ def top_k(rows: DataFrame, is_query, k: int, id_col: str = "vec_id", vector_col:
     id and vector count once, rows of one id with other vectors are queries of their own. Extra columns are left out.
     """
     x = F.col("e")
-    fine = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("e")).where(
+    fine = bounded(rows).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("e")).where(
         F.col("id").isNotNull() & (F.size(x) > 0) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v * scale) >= 2.0**31))
     )
     vectors = fine.select("id", F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("v"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import Words, chain, drop_staged, groups, mix, packed, scoped, stage, strings, table, unpacked, windows
+from tariffloom.llm.common import Words, bounded, chain, drop_staged, groups, mix, packed, scoped, stage, strings, table, unpacked, windows
 from tariffloom.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
@@ -250,7 +250,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     part: their component is null. Rows of one id are one document with the links of all its texts. Extra columns are left out.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    source = bounded(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     known = source.where("doc is not null")
     told = stage(documents(source), "sets")
     rare = spark.sparkContext.broadcast(rarity(told))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import fresh, scoped, stage, strings, table
+from tariffloom.llm.common import bounded, fresh, scoped, stage, strings, table
 
 SEQ_LEN, END_ID = 1024, 2
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, chunk int, place long"
@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, end_id:
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "chunk", "place", "ids"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names[: len(kinds)])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, PIECE_SCHEMA + (", ids array<long>" if with_ids else ""))
+    return bounded(docs).select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, PIECE_SCHEMA + (", ids array<long>" if with_ids else ""))
 
 
 def plan(counts: np.ndarray, size: int) -> list[tuple[int, list[tuple[int, int, int]]]]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm.common import Words, crc_mod, groups, one_text_of_id, strings, table
+from tariffloom.llm.common import Words, bounded, crc_mod, groups, one_text_of_id, strings, table
 
 #: The most labelled rows that the trees are grown on, the first by a hash of the id.
 SAMPLE_ROWS = 20_000
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, learn, label_col: str = "quality",
     or documents the trees are empty and score one half.
     """
     own = sample_of(labels, label_col, learn, rows)  # bounded by rows, so it may be broadcast
-    got = measure(one_text_of_id(docs, own)).toArrow()
+    got = measure(one_text_of_id(bounded(docs), own)).toArrow()
     y = got.column("label").to_numpy().astype(float)
     x = np.array(got.column("x").to_pylist()).reshape(len(y), len(FEATURES))
     order = np.lexsort((*x.T, y))  # the same trees whatever order the rows came in
@@ -188,7 +188,7 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
                 s = held.value.score(statistics(Words(text, lo, hi)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
+    return bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffloom.llm.common import table
+from tariffloom.llm.common import bounded, table
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -143,7 +143,7 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 500), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], ["doc_id", "n_assign", "n_access", "n_hex", "base", "found", "redacted"])
 
     kind = "array<struct<start:long,end:long,kind:string>>"
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, f"doc_id long, n_assign long, n_access long, n_hex long, base {kind}, found {kind}, redacted string")
+    return bounded(docs).select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, f"doc_id long, n_assign long, n_access long, n_hex long, base {kind}, found {kind}, redacted string")
 
 
 def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -158,7 +158,7 @@ def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 out.append(redact(text, found) if found else text)
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(out, pa.string()), *batch.columns[at + 1 :]], batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)
 
 
 def digest(spans):

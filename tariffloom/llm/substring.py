@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tariffloom.llm.common import Words, chain, groups, mix, packed, strings, table, unpacked, windows
+from tariffloom.llm.common import Words, bounded, chain, groups, mix, packed, strings, table, unpacked, windows
 
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)  # a perfect difference set: every residue is a difference of two members
 ANCHOR = WINDOW - PERIOD + 1
@@ -216,7 +216,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     the comparison, and each keeps what no smaller id has.
     """
     extra = [f"_carry{i}" for i in range(len(carry))]
-    source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(e) for c, e in zip(carry, extra, strict=True)))
+    source = bounded(docs).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"), *(F.col(c).alias(e) for c, e in zip(carry, extra, strict=True)))
     known = source.where("doc is not null")
     # both joins ask for the same exchange of the texts, with all columns, and so read one
     shared = shared_anchors(find_anchors(known.select("doc", "text")).drop("more"))
