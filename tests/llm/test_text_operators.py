@@ -370,12 +370,10 @@ def test_trees_agree_with_a_plain_walk():
         assert abs(total - raw) < 1e-9
 
 
-@pytest.mark.parametrize("sizes", [(1_000_000, 1 << 20, 1 << 20), (20, 3000, 500), (5, 50, 10)])
+@pytest.mark.parametrize("sizes", [(1_000_000, 1 << 19), (20, 3000), (5, 50)])
 def test_language_model(spark, monkeypatch, sizes):
     monkeypatch.setattr(lm_score, "DICTIONARY", sizes[0])
     monkeypatch.setattr(lm_score, "PART", sizes[1])
-    monkeypatch.setattr(lm_score, "FLUSH", sizes[2])
-    monkeypatch.setattr(lm_score, "HOT", sizes[1])
     docs = documents(spark)
     rows = lm_score.score(docs, lambda c: c != 12).collect()
     train = [t or "" for i, t in ROWS if i not in (None, 12)]
