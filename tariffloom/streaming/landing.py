@@ -13,19 +13,32 @@ def new_files(spark: SparkSession, folder: str, schema: T.StructType, form: str
     return (reader.option("pathGlobFilter", glob) if glob else reader).load(folder)
 
 
+def unlanded(batch: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a batch, one for each key, whose keys are not landed yet.
+
+    Only landed rows within the range of the batch's keys are asked, which the files' statistics answer for keys that rise
+    with time; so a batch does not read all that was landed before it.
+    """
+    new = batch.dropDuplicates(keys)
+    ends = batch.agg(*(f(k).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("low", F.min), ("high", F.max)))).first()
+    for i, k in enumerate(keys):
+        if ends[f"low{i}"] is not None:
+            landed = landed.where(F.col(k).between(F.lit(ends[f"low{i}"]), F.lit(ends[f"high{i}"])))
+    return new.join(landed.select(*keys), keys, "left_anti")
+
+
 def land(stream: DataFrame, target: str, checkpoint: str, keys: list[str], every: str | None = None):
     """Appends rows whose keys the target does not have. Without `every` it takes what is there and ends; else it polls.
 
-    A batch that is run again after a failure finds its keys in the target, so nothing is landed twice.
+    A batch that is run again after a failure finds its keys in the target, so nothing is landed twice. Rows with a null key
+    are new each time. Keys are of types that have an order.
     """
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(target)
         there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        new = batch.dropDuplicates(keys)
-        if there:
-            new = new.join(spark.read.parquet(target).select(*keys), keys, "left_anti")
+        new = unlanded(batch, spark.read.parquet(target), keys) if there else batch.dropDuplicates(keys)
         new.write.mode("append").parquet(target)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)

@@ -103,3 +103,43 @@ def test_codecs_in_turn(spark, tmp_path):
     assert writers.parquet(df, str(tmp_path / "a"), codecs=("none such", "zstd")) == "zstd" and spark.read.parquet(str(tmp_path / "a")).count() == 3
     with pytest.raises(Exception, match="none such"):
         writers.parquet(df, str(tmp_path / "b"), codecs=("none such",))
+
+
+def test_bulk_load(spark):
+    got, fails = [], iter([True])
+
+    class Index(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"])).decode()
+            bad = next(fails, False)
+            if not bad:
+                got.extend(map(json.loads, body.splitlines()))
+            self.send_response(503 if bad else 200)
+            self.end_headers()
+            self.wfile.write(b'{"errors": false}')
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Index)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    docs = writers.search_documents(spark.range(7).selectExpr("id AS k", "concat('n', id) AS name"), "k")
+    done = writers.post_bulk(docs.coalesce(1), f"http://127.0.0.1:{server.server_port}/_bulk", "prices", batch=3, wait=0.01).collect()
+    assert [(r.sent, r.failed, r.error) for r in done] == [(3, 0, None), (3, 0, None), (1, 0, None)]
+    assert {a["index"]["_id"] for a in got[0::2]} == {str(k) for k in range(7)} and {d["name"] for d in got[1::2]} == {f"n{k}" for k in range(7)}
+    server.shutdown()
+    gone = writers.post_bulk(docs.coalesce(1), "http://127.0.0.1:9/_bulk", "prices", tries=1, wait=0.0).collect()
+    assert [(r.sent, r.failed) for r in gone] == [(0, 7)] and gone[0].error
+
+
+def test_a_batch_asks_only_for_its_own_range(spark, tmp_path):
+    from tariffloom.streaming import landing
+
+    spark.range(0, 100).selectExpr("id", "concat('k', id) AS name").write.parquet(str(tmp_path / "t"))
+    landed = spark.read.parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(99, "k99"), (100, "k100"), (100, "k100"), (None, None)], "id long, name string")
+    new = landing.unlanded(batch, landed, ["id"])
+    assert sorted((r.id or -1) for r in new.collect()) == [-1, 100]
+    assert "GreaterThanOrEqual(id,99)" in new._jdf.queryExecution().toString()
+    assert landing.unlanded(batch, landed, ["id", "name"]).count() == 2
+    assert landing.unlanded(batch.where("id is null"), landed, ["id"]).count() == 1
