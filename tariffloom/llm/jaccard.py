@@ -31,8 +31,8 @@ SHINGLE, PERCENT = 5, 75
 COUNT_BITS, FAN_IN = 20, 256
 #: A little more than 100 / PERCENT: sizes of linked sets have at most this ratio.
 STEP = 1.34
-#: Members of a verification group; groups that a class sits in; fingerprints that a task remembers.
-GROUP, SEATS, REMEMBERED = 256, 3, 200_000
+#: Members of a verification group, and tokens of all their sets; groups that a class sits in; fingerprints that a task remembers.
+GROUP, ITEMS, SEATS, REMEMBERED = 256, 1 << 20, 3, 200_000
 _SEEDS = [np.uint64(x) for x in (0x51ED270B9F0C4F2D, 0xD1B54A32D192ED03, 0xA0761D6478BD642F)]
 
 
@@ -235,8 +235,10 @@ def _pair_links(t: pa.Table, rare: np.ndarray) -> pa.Table:
 
 
 def _seated(pairs: DataFrame) -> DataFrame:
-    """(mark, low, part, side) of pairs (mark, low): groups of GROUP members at most, each with its centre (side 0)."""
-    parts = stage(pairs.groupBy("low").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts")), "sizes")
+    """(mark, low, part, side) of pairs (mark, low, n: size of the mark's set): groups of about GROUP members and ITEMS tokens at
+    most, whichever is reached first, each with its centre (side 0)."""
+    parts = F.greatest(F.ceil(F.count("*") / GROUP), F.ceil(F.sum("n") / ITEMS)).cast("int")
+    parts = stage(pairs.groupBy("low").agg(parts.alias("parts")), "sizes")
     member = pairs.join(parts, "low").select("mark", "low", F.pmod(F.xxhash64("mark"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"))
     centre = parts.select(F.col("low").alias("mark"), "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
     return member.unionByName(centre)
@@ -275,7 +277,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ends = shared.select("mark", F.explode(F.array("low", "high")).alias("low")).where("mark <> low")
     ties = ends.groupBy("mark", "low").agg(F.count("*").alias("c")).join(sizes, "mark").where(F.col("c") * 24 >= F.col("n"))
     best = F.row_number().over(W.partitionBy("mark").orderBy(F.desc("c"), "low"))
-    chosen = stage(ties.withColumn("place", best).where(F.col("place") <= SEATS).select("mark", "low"), "chosen")
+    chosen = stage(ties.withColumn("place", best).where(F.col("place") <= SEATS).select("mark", "low", "n"), "chosen")
     seats = stage(_seated(chosen), "seats")
     edge = "u long, v long"
     near = texts_of(seats).groupBy("low", "part").applyInArrow(lambda t: _group_links(t, rare.value), edge)
@@ -303,7 +305,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     pair = pair.groupBy("mark1", "mark2", "n1", "n2").agg(F.count("*").alias("c"), F.max("place1").alias("p1"), F.max("place2").alias("p2"))
     bound = F.col("c") + F.least(F.col("n1") - F.col("p1") - 1, F.col("n2") - F.col("p2") - 1)
     pair = pair.where((F.col("c") >= least) & (bound >= overlap))
-    pair = stage(pair.select(F.col("mark2").alias("mark"), F.col("mark1").alias("low")), "pairs")
+    pair = stage(pair.select(F.col("mark2").alias("mark"), F.col("mark1").alias("low"), F.col("n2").alias("n")), "pairs")
     seats = stage(_seated(pair), "seats")
     far = texts_of(seats).groupBy("low", "part").applyInArrow(lambda t: _pair_links(t, rare.value), edge)
     second = stage(far, "far")
