@@ -650,6 +650,7 @@ def convert_request(spark, sf):
 @_query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey < 10")
 def jdbc_round_trip(spark, sf):
     """A table of a database, written and read by a query in fetches; the database is the one that comes with Spark."""
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")  # no log file beside the program
     url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
     driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
     writers.jdbc(_t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey").coalesce(1), url, "suppliers", "overwrite", **driver)
