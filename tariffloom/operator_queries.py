@@ -649,12 +649,18 @@ def convert_request(spark, sf):
 
 @_query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey < 10")
 def jdbc_round_trip(spark, sf):
-    """A table of a database, written and read by a query in fetches; the database is the one that comes with Spark."""
+    """A table of a database, written and read by a query in fetches; the database is the one that comes with Spark.
+
+    It lives inside one program, so the driver writes it, and the executors read a copy in the shared folder.
+    """
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")  # no log file beside the program
-    url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
+    name = f"jdbc:derby:memory:t{uuid.uuid4().hex}"
     driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    writers.jdbc(_t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey").coalesce(1), url, "suppliers", "overwrite", **driver)
-    own = readers.jdbc(spark, url, 'SELECT "s_suppkey", "s_name" FROM suppliers WHERE "s_nationkey" < 10', 50, **driver)
+    writers.jdbc_here(_t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"), f"{name};create=true", "suppliers", **driver)
+    copy = writers.derby_copy(spark, name, _folder(spark, "database"))
+    with contextlib.suppress(Exception):  # Derby tells by an error that a database has been dropped
+        spark._jvm.java.sql.DriverManager.getConnection(f"{name};drop=true")
+    own = readers.jdbc(spark, copy, 'SELECT "s_suppkey", "s_name" FROM suppliers WHERE "s_nationkey" < 10', 50, **driver)
     return own.select("s_suppkey", "s_name")
 
 

@@ -305,3 +305,23 @@ def test_lists_and_whole_values(spark):
     texts = ['{"a":1}', '{"a":1}]', '{"a":1}}', '{"a":1},', "", " ", '{"a":', "1", '1,"b":2', "null", None]
     got = filters.complete_items(spark.createDataFrame([(t,) for t in texts], "value string"))
     assert sorted(r.value for r in got.collect()) == sorted(['{"a":1}', "1", "null"])
+
+
+def test_jdbc_round_trip_reads_where_the_database_of_the_driver_is_not(spark, tmp_path, monkeypatch):
+    """An executor has none of the tables of a database in the driver's memory; in a local session they share one program, so
+    that database is dropped before the rows are read."""
+    import uuid
+    from types import SimpleNamespace
+
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    from tariffloom import operator_queries
+
+    spark.createDataFrame([(k, None if k == 7 else f"it's {k}", k % 25) for k in range(2500)], "s_suppkey long, s_name string, s_nationkey int").repartition(3).write.parquet(f"{tmp_path}/supplier.parquet")
+    name = uuid.uuid4().hex
+    monkeypatch.setattr(operator_queries, "uuid", SimpleNamespace(uuid4=lambda: SimpleNamespace(hex=name)))
+    own = operator_queries.jdbc_round_trip(spark, str(tmp_path))
+    with pytest.raises((PySparkException, Py4JJavaError)):  # dropping ends in an error, be it there or not
+        spark._jvm.java.sql.DriverManager.getConnection(f"jdbc:derby:memory:t{name};drop=true")
+    assert sorted((r.s_suppkey, r.s_name) for r in own.collect()) == [(k, None if k == 7 else f"it's {k}") for k in range(2500) if k % 25 < 10]
