@@ -3,9 +3,10 @@
 Each table rotates the unit vectors by three rounds of random signs and a fast Hadamard transform; the largest
 component with its sign is one hash, and several make a bucket number. Multiprobe: a vector also enters the buckets of
 its next largest components. Vectors of a bucket are compared in blocks by one matrix product, so every link is
-verified. What travels is the vector as it came (single precision where that says the same) and its buckets in 32 bits. A pair that shares several buckets counts in the first of them only, which both sides can tell from the
+verified. What no table brings together is found by an exact pass over all pairs of blocks of the file, which counts only
+pairs without a common bucket: both together have every link. That pass is quadratic; its blocks are read again, not shuffled. What travels is the vector as it came (single precision where that says the same) and its buckets in 32 bits. A pair that shares several buckets counts in the first of them only, which both sides can tell from the
 buckets they carry; so links are counted where they are found and no pair is ever shuffled. Only each vector's count and
-one edge to the smallest id linked to it in the group leave a group.
+one edge to the smallest id that it reaches by links of the group leave a group.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from tariffloom.llm.common import bounded, scoped, stage, table
 from tariffloom.llm.graph import components
 
 LIMIT, PROBES, BLOCK, AT_ONCE = 0.9, 4, 4096, 512
+#: Components of a block of the exact pass, its least rows; into how many tasks each side of the pass is dealt at most.
+FILE_BLOCK, LEAST_ROWS, SIDES = 1 << 20, 512, 128
 SEED = 20240611
 
 
@@ -37,8 +40,8 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 
 def width_of(dim: int) -> int:
-    """The power of two that vectors are filled up to."""
-    return 1 << max(1, int(np.ceil(np.log2(max(dim, 2)))))
+    """The power of two that vectors are filled up to; wide enough for PROBES different choices."""
+    return 1 << max(2, int(np.ceil(np.log2(max(dim, 2)))))
 
 
 def hashes_for(rows: int, dim: int) -> int:
@@ -96,8 +99,7 @@ def pack(v: list[float]) -> bytes:
 
 def unit(raw: list[bytes], dim: int) -> np.ndarray:
     """Unit vectors in double precision of packed vectors that are neither zero nor infinite."""
-    x = np.stack([np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in raw]).astype(np.float64)
-    return normal(x)[0]
+    return normal(vectors(raw, dim))[0]
 
 
 def normal(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,17 +140,69 @@ def _sketch(rows: DataFrame, total: int, id_col: str, vector_col: str) -> DataFr
     return source.mapInArrow(run, "id long, digest binary, raw binary, codes binary, dim int")
 
 
+def meets(x: np.ndarray, y: np.ndarray, limit: float) -> np.ndarray:
+    """Whether pairs of vectors, as they came, have a cosine of at least limit: products are summed in order, in double
+    precision, and divided once, so that a pair exactly at the limit is not lost to the rounding of unit vectors."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore", divide="ignore"):
+        dot, a, b = (np.cumsum(v, 1)[:, -1] for v in (x * y, x * x, y * y))
+        size = a * b
+        cosine = dot / np.sqrt(size)
+    odd = ~((size > 1e-200) & (size < 1e200))  # squares too small or too large
+    cosine[odd] = (normal(x[odd])[0] * normal(y[odd])[0]).sum(1)
+    return cosine >= limit
+
+
+def vectors(raw: list[bytes], dim: int) -> np.ndarray:
+    """Packed vectors as they came, in double precision."""
+    return np.stack([np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in raw]).astype(np.float64)
+
+
+def linked_pairs(x: np.ndarray, y: np.ndarray, ux: np.ndarray, uy: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of all pairs of x[i] and y[j] with a cosine of at least limit. ux, uy: their unit vectors, in either precision;
+    pairs nearer to the limit than the rounding of their product are settled by `meets`."""
+    slack = (x.shape[1] + 16) * float(np.finfo(ux.dtype).eps)
+    product = ux @ uy.T
+    i, j = np.divmod(np.flatnonzero(product.ravel() >= limit - slack), product.shape[1])
+    close = np.flatnonzero(product[i, j] < limit + slack)
+    keep = np.ones(len(i), bool)
+    for lo in range(0, len(close), 1 << 16):
+        at = close[lo : lo + (1 << 16)]
+        keep[at] = meets(x[i[at]], y[j[at]], limit)
+    return i[keep], j[keep]
+
+
+def unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Joins the sets of i and j; root: the first place of each place's set."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return
+        i, j, a, b = (v[apart] for v in (i, j, a, b))
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while ((after := root[root]) != root).any():
+            root[:] = after
+
+
+def least_of(root: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id of each place's set."""
+    out = ids.copy()
+    np.minimum.at(out, root, ids)
+    return out[root]
+
+
 def links_of_block(t: pa.Table, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, linked vectors, smallest id linked) of a group: rows with side 0 and 1 are two blocks, all of side 0 one block."""
+    """(ids, linked vectors, smallest id reached) of a group: rows with side 0 and 1 are two blocks, all of side 0 one block."""
     ids, size, side = (t.column(c).to_numpy() for c in ("id", "size", "side"))
-    x = unit(t.column("raw").to_pylist(), t.column("dim")[0].as_py())
+    raw = vectors(t.column("raw").to_pylist(), t.column("dim")[0].as_py())
+    x = normal(raw)[0]
     codes = np.frombuffer(b"".join(t.column("codes").to_pylist()), "<u4").reshape(len(ids), -1)
     at, here = t.column("at")[0].as_py(), t.column("bucket")[0].as_py()
     two = bool(side.any())
     a, b = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if two else (np.arange(len(ids)),) * 2
-    n, low = np.zeros(len(ids), np.int64), ids.copy()
+    n, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
     for lo in range(0, len(a) if len(b) else 0, AT_ONCE):
-        i, j = np.nonzero(x[a[lo : lo + AT_ONCE]] @ x[b].T >= limit)
+        i, j = linked_pairs(raw[a[lo : lo + AT_ONCE]], raw[b], x[a[lo : lo + AT_ONCE]], x[b], limit)
         i, j = a[lo + i], b[j]
         if not two:
             i, j = i[i < j], j[i < j]
@@ -160,10 +214,85 @@ def links_of_block(t: pa.Table, limit: float) -> tuple[np.ndarray, np.ndarray, n
         i, j = i[mine], j[mine]
         np.add.at(n, i, size[j])
         np.add.at(n, j, size[i])
-        np.minimum.at(low, i, ids[j])
-        np.minimum.at(low, j, ids[i])
+        unite(root, i, j)
+    hit = np.flatnonzero(n)
+    return ids[hit], n[hit], least_of(root, ids)[hit]
+
+
+_BLOCK = "dim int, block int, rows int, ids binary, sizes binary, raw binary, codes binary"
+
+
+def block_of(t: pa.Table) -> pa.Table:
+    """One row of the vectors of a block, end to end: in single precision if that holds them all exactly."""
+    n, dim = t.num_rows, t.column("dim")[0].as_py()
+    raw = t.column("raw").to_pylist()
+    if len({len(r) for r in raw}) > 1:
+        raw = [v.tobytes() for v in vectors(raw, dim)]
+    ids, sizes = (t.column(c).to_numpy().astype("<i8").tobytes() for c in ("id", "size"))
+    own = (dim, t.column("block")[0].as_py(), n, ids, sizes, b"".join(raw), b"".join(t.column("codes").to_pylist()))
+    return pa.table([pa.array([v], k) for v, k in zip(own, (pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 4), strict=True)], ["dim", "block", "rows", "ids", "sizes", "raw", "codes"])
+
+
+def _unpacked(dim: int, rows: int, ids: bytes, sizes: bytes, raw: bytes, codes: bytes) -> tuple[np.ndarray, ...]:
+    kind = np.float32 if len(raw) == 4 * dim * rows else np.float64
+    return np.frombuffer(ids, "<i8"), np.frombuffer(sizes, "<i8"), np.frombuffer(raw, kind).reshape(rows, dim), np.frombuffer(codes, "<u4").reshape(rows, -1)
+
+
+def rest_of_blocks(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...] | None, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, linked vectors, smallest id reached) by pairs of two blocks, or of one where b is None, that share no bucket of any
+    table. a, b: (ids, class sizes, vectors, codes)."""
+    one, b = b is None, a if b is None else b
+    shift = 0 if one else len(a[0])  # places: of a, then of b
+    ids, size = (a[k] if one else np.concatenate([a[k], b[k]]) for k in (0, 1))
+    n, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    x, y = (v[2].astype(np.float64) for v in (a, b))
+    ux, uy = (normal(v)[0].astype(np.float32) for v in (x, y))
+    for lo in range(0, len(x), AT_ONCE):
+        from_ = lo if one else 0  # of a block with itself, each pair once
+        i, j = linked_pairs(x[lo : lo + AT_ONCE], y[from_:], ux[lo : lo + AT_ONCE], uy[from_:], limit)
+        i, j = i + lo, j + from_
+        if one:
+            i, j = i[i < j], j[i < j]
+        for start in range(0, len(i), 1 << 20):
+            p, q = i[start : start + (1 << 20)], j[start : start + (1 << 20)]
+            apart = np.ones(len(p), bool)
+            for k in range(a[3].shape[1]):
+                first = k // PROBES * PROBES
+                left = np.flatnonzero(apart)
+                if not len(left):
+                    break
+                apart[left] = ~(b[3][q[left], first : first + PROBES] == a[3][p[left], k][:, None]).any(1)
+            p, q = p[apart], q[apart] + shift
+            np.add.at(n, p, size[q])
+            np.add.at(n, q, size[p])
+            unite(root, p, q)
     hit = np.flatnonzero(n)
-    return ids[hit], n[hit], low[hit]
+    return ids[hit], n[hit], least_of(root, ids)[hit]
+
+
+def _rest(classes: DataFrame, limit: float) -> DataFrame:
+    """(id, n, low) of the links between classes that share no bucket, by all pairs of blocks."""
+    sizes = {r["dim"]: -(-r["n"] // max(LEAST_ROWS, FILE_BLOCK // r["dim"])) for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return classes.select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("low"))
+    of = classes.sparkSession.createDataFrame(sorted(sizes.items()), "dim int, blocks int")
+    own = classes.join(F.broadcast(of), "dim").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    own = own.select("dim", "block", "id", "size", "raw", "codes").groupBy("dim", "block").applyInArrow(block_of, _BLOCK)
+    file = stage(own, "blocks")
+    deal = min(SIDES, sum(sizes.values()))
+    a, b = (file.select(*(F.col(c).alias(side + c) for c in file.columns)).repartition(deal) for side in ("a_", "b_"))
+    # an equality of lengths would bring all blocks of a length into one task
+    pairs = a.join(b, (F.abs(F.col("a_dim") - F.col("b_dim")) < 1) & (F.col("a_block") <= F.col("b_block")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                dim, at, *own = (c[row].as_py() for c in batch.columns[:7])
+                _, other_at, *other = (c[row].as_py() for c in batch.columns[7:])
+                got = rest_of_blocks(_unpacked(dim, *own), None if at == other_at else _unpacked(dim, *other), limit)
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in got], ["id", "n", "low"])
+
+    return pairs.mapInArrow(run, "id long, n long, low long")
 
 
 @scoped
@@ -207,7 +336,8 @@ def near_duplicates(rows: DataFrame, limit: float = LIMIT, id_col: str = "vec_id
             ids, n, low = links_of_block(t, limit)
         return pa.table({"id": pa.array(ids, pa.int64()), "n": pa.array(n, pa.int64()), "low": pa.array(low, pa.int64())})
 
-    found = stage(wide.groupBy("dim", "at", "bucket", "first", "last").applyInArrow(run, "id long, n long, low long"), "links")
+    met = wide.groupBy("dim", "at", "bucket", "first", "last").applyInArrow(run, "id long, n long, low long")
+    found = stage(met.unionByName(_rest(classes, limit)), "links")
     linked = found.groupBy("id").agg(F.sum("n").alias("n"))
     part = components(found.select(F.col("id").alias("u"), F.col("low").alias("v")))
     told = stage(classes.select("id", "size", "digest", "dim").join(linked, "id", "left").join(part, "id", "left").select("digest", "dim", "size", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")), "classes")

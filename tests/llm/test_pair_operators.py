@@ -310,3 +310,45 @@ def test_pipeline_on_awkward_and_empty_tables(spark, tmp_path):
         kept = spark.read.parquet(f"{tmp_path}/{name}/1.out").where("doc_id = 20")
         assert kept.count() == 2 and kept.where("score = 'z' and predicted = 'u' and row = 'u'").count() == kept.count()
         assert seen[1] == seen[2] == seen[3] <= seen[4] == corpus_pipeline.run(spark, folder).count()
+
+
+def test_embedding_links_that_no_table_brings_together(spark, monkeypatch):
+    """With one table of three hashes few pairs share a bucket; every link is found all the same, in blocks of any cut."""
+    monkeypatch.setattr(embed_dedup, "hashes_for", lambda rows, dim: 3)
+    monkeypatch.setattr(embed_dedup, "tables_for", lambda hashes, dim: 1)
+    monkeypatch.setattr(embed_dedup, "FILE_BLOCK", 16 * 24)
+    monkeypatch.setattr(embed_dedup, "LEAST_ROWS", 7)
+    monkeypatch.setattr(embed_dedup, "AT_ONCE", 5)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(12, 24)), 8, 0) + 0.3 * rng.normal(size=(96, 24))
+    x[40] = x[41]
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(200, [1.0, 0.0]), (201, [1.0, 0.1])]
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = u @ u.T >= 0.9
+    part = np.arange(96)
+    for _ in range(96):
+        part = np.where(link, part[None, :], 96).min(1)
+    codes = embed_dedup.buckets(u, 3, 1)
+    together = (codes[:, None, :, None] == codes[None, :, None, :]).any((2, 3))
+    assert (link & ~together).sum() > 20
+    assert [got[k].n_links for k in range(96)] == (link.sum(1) - 1).tolist()
+    assert [got[k].component_id for k in range(96)] == part.tolist()
+    assert (got[200].n_links, got[201].component_id) == (1, 200)
+
+
+def test_embedding_links_exactly_at_the_limit(spark):
+    """9 / 10 in exact numbers, where the product of unit vectors rounds below it; 44 / (7 * 52 ** 0.5) stays apart."""
+    x = [([-3.0, 4.0, 5.0], [0.0, 1.0, 1.0]), ([-3.0, 5.0, 4.0], [0.0, 2.0, 2.0]), ([6.0, 3.0, 2.0], [6.0, 0.0, 4.0])]
+    assert all(a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.9 > (a / np.sqrt(a @ a)) @ (b / np.sqrt(b @ b)) for a, b in (map(np.array, v) for v in x[:2]))
+    for (a, b), n in zip(x, (1, 1, 0), strict=True):
+        df = spark.createDataFrame([(1, a), (2, b)], "vec_id long, embedding array<double>")
+        assert [r.n_links for r in embed_dedup.near_duplicates(df).collect()] == [n, n]
+
+
+def test_embedding_links_of_one_vector_to_two_that_are_apart(spark):
+    """3 links with 1 and 2, which do not link: all are one component, though 3 has its smallest neighbour in 1."""
+    turn = np.deg2rad([-25, 25, 0])
+    rows = [(k + 1, [float(np.cos(t)), float(np.sin(t)), 0.0]) for k, t in enumerate(turn)]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("vec_id").collect()
+    assert [(r.n_links, r.component_id) for r in got] == [(1, 1), (1, 1), (2, 1)]
