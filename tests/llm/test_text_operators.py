@@ -517,3 +517,18 @@ def test_language_model_columns_survive_the_way():
     columns = [rng.integers(0, 2**31, 500).astype("<u4"), rng.integers(0, 2**15, 500).astype("<u2"), rng.normal(size=500)]
     back = lm_score._expand(lm_score._press(*columns), "<u4", "<u2", "<f8")
     assert all((a == b).all() for a, b in zip(columns, back, strict=True))
+
+
+def test_language_model_learns_from_every_row(monkeypatch):
+    """Every bit of every training row that another occurrence has passed moves the weights, however many rows there are."""
+    code, m = _code(40), 20_000
+    rng = np.random.default_rng(4)
+    sym = rng.integers(0, code.n, m)
+    near, far = np.arange(m) // (m // 2), np.arange(m)
+    n = rng.integers(0, 3, m)
+    got = []
+    monkeypatch.setattr(lm_score.Mixer, "learn", lambda self, x, gate, row, times: got.append((len(gate), float(times.sum()))))
+    lm_score.predict(code.words, near.astype(np.uint64), far.astype(np.uint64), sym, n, n == 0, lm_score.Mixer())
+    row, c1, *_ = lm_score.bits_of(code.words, near.astype(np.uint64), far.astype(np.uint64), sym, n)
+    own = (n[row] > 0) & (c1 > 1)
+    assert sum(k for k, _ in got) == own.sum() and sum(t for _, t in got) == n[row[own]].sum()
