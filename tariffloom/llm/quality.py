@@ -141,10 +141,11 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
     return Trees(np.array(feature, np.int64), np.array(cut), np.array(child, np.int64), np.array(value), np.array(roots, np.int64), base, depth)
 
 
-def sample_of(labels: DataFrame, label_col: str, learn, rows: int, id_col: str = "doc_id") -> DataFrame:
-    """At most `rows` labelled ids, the first by a hash; of repeated labels the larger counts, null ids and labels never."""
+def sample_of(labels: DataFrame, label_col: str, learn, rows: int | None, id_col: str = "doc_id") -> DataFrame:
+    """At most `rows` labelled ids, the first by a hash (None: all of them); of repeated labels the larger counts, null ids and labels never."""
     own = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & learn(F.col(id_col)))
-    return own.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    every = own.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return every if rows is None else every.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
 def measure(docs: DataFrame) -> DataFrame:

@@ -532,3 +532,24 @@ def test_language_model_learns_from_every_row(monkeypatch):
     row, c1, *_ = lm_score.bits_of(code.words, near.astype(np.uint64), far.astype(np.uint64), sym, n)
     own = (n[row] > 0) & (c1 > 1)
     assert sum(k for k, _ in got) == own.sum() and sum(t for _, t in got) == n[row[own]].sum()
+
+
+def test_toxicity_learns_from_rows_beyond_the_start(spark, monkeypatch):
+    """The driver's start has eight rows of either class; a toxic word that only other rows hold is learned all the same."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(toxicity, "SHARD", 150, raising=False)
+    rng = np.random.default_rng(3)
+    words = [f"word{k}" for k in range(40)]
+    ids = [r.k for r in spark.range(600).select(F.col("id").alias("k")).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = []
+    for place, k in enumerate(ids):
+        toxic = k % 3 == 0
+        mean = [] if not toxic else ["vile"] if place < 60 else ["nasty"]
+        rows.append((k, " ".join([*rng.choice(words, 12), *mean, *rng.choice(words, 12)]), int(toxic)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id long, toxic int")
+    net = toxicity.train(docs, labels, lambda c: F.lit(True), rows=8)
+    asked = spark.createDataFrame([(k, " ".join([*rng.choice(words, 10), *w, *rng.choice(words, 10)])) for k, w in enumerate([["nasty"], []] * 20)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(asked, net).collect()}
+    assert min(got[k] for k in range(0, 40, 2)) > max(got[k] for k in range(1, 40, 2))
