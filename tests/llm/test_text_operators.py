@@ -6,6 +6,7 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -534,6 +535,48 @@ def test_language_model_learns_from_every_row(monkeypatch):
     assert sum(k for k, _ in got) == own.sum() and sum(t for _, t in got) == n[row[own]].sum()
 
 
+def test_language_model_looks_at_a_bit_once(monkeypatch):
+    """A bit that is learned from and then predicted is looked at once; where a row has come alone, its path ends. Neither
+    changes a probability."""
+    code, m = _code(40), 6000
+    rng = np.random.default_rng(7)
+    near, far, sym = np.sort(rng.integers(0, 900, m)), rng.integers(0, 6, m), rng.integers(0, code.n, m)
+    rows = np.unique(np.stack([near, near * 10 + far, code.words.code[sym], sym], 1), axis=0)
+    near, far, sym = rows[:, 0].astype(np.uint64), rows[:, 1].astype(np.uint64), rows[:, 3]
+    n = rng.integers(0, 3, len(rows)) * (rng.random(len(rows)) < 0.8)
+    held = (n == 0) | (rng.random(len(rows)) < 0.05)
+    whole = lm_score.predict(code.words, near, far, sym, n, np.ones(len(rows), bool), lm_score.Mixer())
+    looked, inputs = [], lm_score.Mixer.inputs
+    monkeypatch.setattr(lm_score.Mixer, "inputs", staticmethod(lambda c1, *more: (looked.append(len(c1)), inputs(c1, *more))[1]))
+    got = lm_score.predict(code.words, near, far, sym, n, held, lm_score.Mixer())
+    assert np.abs(got[0] - whole[0])[held].max() < 1e-5 and np.abs(got[1] - whole[1])[n > 0].max() < 1e-5
+    row, c1, *_ = lm_score.bits_of(code.words, near, far, sym, n)
+    assert sum(looked) == ((n[row] > 0) & (c1 > 1)).sum() + held[row].sum()
+    assert len(lm_score.bits_of(code.words, near, far, sym, n, held)[0]) < len(row)
+
+
+def test_language_model_sending_takes_each_part_by_itself(monkeypatch):
+    """What is sent to a part costs its own rows, not those of all parts before it, and comes back whole."""
+    code = _code(300, parts=400)
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"word{i}" for i in rng.integers(0, 4000, 100)) for _ in range(150)]
+    monkeypatch.setattr(lm_score, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    run = lm_score.send(SimpleNamespace(mapInArrow=lambda run, _: run), SimpleNamespace(value=code))
+    batch = pa.record_batch({"doc_id": list(range(150)), "text": texts, "learn": [i % 5 > 0 for i in range(150)]})
+    summed, cumsum = [], np.cumsum
+    with monkeypatch.context() as own:
+        own.setattr(np, "cumsum", lambda a, *x, **k: (summed.append(np.size(a)), cumsum(a, *x, **k))[1])
+        sent = [r for b in run(iter([batch])) for r in b.to_pylist()]
+    total, parts = 0, set()
+    for r in sent:
+        if r["kind"] == lm_score.ROWS:
+            k1, k2, _, _, times, _ = lm_score._expand(r["blob"], *lm_score._ROW)
+            assert (code.part_of(cumsum(k1, dtype=np.uint32), k2) == r["part"]).all()
+            total, parts = total + int(times.sum()), parts | {r["part"]}
+    assert len(parts) > 200 and total > 150 * 101
+    assert sum(summed) < 10 * total
+
+
 def test_toxicity_learns_from_rows_beyond_the_start(spark, monkeypatch):
     """The driver's start has eight rows of either class; a toxic word that only other rows hold is learned all the same."""
     from pyspark.sql import functions as F
